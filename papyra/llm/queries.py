@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm import simhash
+from papyra.llm import simhash, superkmer
 from papyra.llm.common import read
 
 
@@ -14,5 +14,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup,)}
+def op7_superkmer_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superkmer.drop_repeated(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
