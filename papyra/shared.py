@@ -41,4 +41,4 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the bytes of ``df``; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
