@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm import simhash, superkmer
-from papyra.llm.common import read
+from papyra.llm import knlm, simhash, superkmer
+from papyra.llm.common import fold, read
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +19,12 @@ def op7_superkmer_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup)}
+def op8_kneser_ney_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    model = knlm.fit(docs.where(~held_out))
+    return knlm.score(docs, model).withColumn("held_out", held_out)
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring)}
 ORACLE_SQL: dict[str, str] = {}
