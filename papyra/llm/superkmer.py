@@ -35,10 +35,11 @@ from papyra.llm.common import slices
 from papyra.shared import input_bytes
 
 WINDOW, MMER = 50, 5
-BUCKET_BYTES, SLICE_BYTES, FLUSH_BYTES = 16 << 20, 2 << 20, 24 << 20
+BUCKET_BYTES, SLICE_BYTES, FLUSH_BYTES = 40 << 20, 1 << 20, 20 << 20
+SUB = 8  # a bucket is worked through in so many parts
 _C = np.uint64(0x9E3779B97F4A7C15)
 _NULL_ID = (1 << 63) - 1
-_META = [("sid", np.int32), ("doc", np.int64), ("text", np.uint64), ("start", np.int32)]
+_META = [("sid", np.int32), ("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32)]
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
@@ -126,18 +127,23 @@ class _Batch:
             self.bytes += 100
 
     def rows(self, buckets: int):
+        """(bucket, blob): a blob has SUB parts, each the places of its strings and then the strings."""
         by: dict[int, list] = {}
         for packed, (minimiser, _, doc, places) in self.strings.items():
-            by.setdefault((minimiser >> 20) % buckets, []).append((packed, doc, places))
+            of = minimiser >> 20
+            by.setdefault(of % buckets, []).append((of // buckets % SUB, packed, doc, places))
         squeeze = zstandard.ZstdCompressor(level=3)
         for bucket, entries in by.items():
-            meta = [(k, doc, t, s) for k, (_, doc, places) in enumerate(entries) for t, s in places]
-            columns = [np.array([m[j] for m in meta], kind).tobytes() for j, (_, kind) in enumerate(_META)]
-            text = b"\n".join([e[0] for e in entries])
-            yield bucket, squeeze.compress(struct.pack("<q", len(meta)) + b"".join(columns) + text)
+            parts = []
+            for sub in range(SUB):
+                own = [e for e in entries if e[0] == sub]
+                meta = [(k, e[2], t, s) for k, e in enumerate(own) for t, s in e[3]]
+                columns = [np.array([m[j] for m in meta], kind).tobytes() for j, (_, kind) in enumerate(_META)]
+                parts.append(struct.pack("<q", len(meta)) + b"".join(columns) + b"\n".join([e[1] for e in own]))
+            yield bucket, squeeze.compress(struct.pack(f"<{SUB}q", *map(len, parts)) + b"".join(parts))
 
 
-_RANGES = [("doc", np.int64), ("text", np.uint64), ("start", np.int32), ("end", np.int32)]
+_RANGES = [("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32), ("end", np.int32)]
 
 
 def _pack_ranges(rows) -> bytes:
@@ -153,19 +159,41 @@ def _unpack(blob: bytes, fields) -> tuple[dict[str, np.ndarray], bytes]:
 
 
 def _bucket_ranges(blobs: list[bytes], window: int):
-    """(doc, text, start, end) arrays of what one bucket finds covered."""
-    strings: list[bytes] = []
-    metas = []
-    for blob in blobs:
-        meta, text = _unpack(zstandard.decompress(blob), _META)
-        metas.append((meta["sid"] + len(strings), meta["doc"], meta["text"], meta["start"]))
-        strings += text.split(b"\n")
+    """(doc, text_hash, start, end) arrays of what one bucket finds covered, part by part."""
+    raw = []
+    while blobs:
+        raw.append(zstandard.decompress(blobs.pop()))
+    for sub in range(SUB):
+        parts = []
+        for blob in raw:
+            sizes = struct.unpack_from(f"<{SUB}q", blob)
+            at = 8 * SUB + sum(sizes[:sub])
+            if sizes[sub] > 8:
+                parts.append(blob[at : at + sizes[sub]])
+        if parts:
+            yield _part_ranges(parts, window)
+
+
+def _part_ranges(parts: list[bytes], window: int):
+    metas, texts, n_strings = [], [], 0
+    for part in parts:
+        meta, text = _unpack(part, _META)
+        metas.append((meta["sid"] + n_strings, meta["doc"], meta["text_hash"], meta["start"]))
+        texts.append(text)
+        n_strings += text.count(b"\n") + 1
     sid, doc, text, start = (np.concatenate([m[j] for m in metas]) for j in range(4))
-    owner = np.zeros(len(strings), np.int64)
+    buffer = b"\n".join(texts)
+    del texts, metas
+    owner = np.zeros(n_strings, np.int64)
     owner[sid] = doc
-    buffer, starts, ends, of, flat = _layout([s.split(b" ") for s in strings])
-    hashes = _run_hashes(_word_hashes(flat), window)
-    del flat
+    letters = np.frombuffer(buffer, np.uint8)
+    ends = np.flatnonzero((letters == 32) | (letters == 10))
+    of = np.concatenate([[0], np.cumsum(letters[ends] == 10)])
+    starts, ends = np.concatenate([[0], ends + 1]), np.concatenate([ends, [len(buffer)]])
+    hashes = np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), 50_000):
+        hashes[k : k + 50_000] = _word_hashes([buffer[a:b] for a, b in zip(starts[k : k + 50_000].tolist(), ends[k : k + 50_000].tolist())])
+    hashes = _run_hashes(hashes, window)
     inside = np.flatnonzero(of[: len(hashes)] == of[window - 1 :]) if len(hashes) else np.zeros(0, np.int64)
     order = np.argsort(hashes[inside], kind="stable")
     inside = inside[order]
@@ -189,8 +217,8 @@ def _bucket_ranges(blobs: list[bytes], window: int):
     spans = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     begin, stop = spans[::2], spans[1::2]
     # A span of hits may run over the end of a string only through windows that are not inside, which are never hit.
-    first = np.zeros(len(strings) + 1, np.int64)
-    np.cumsum(np.bincount(of, minlength=len(strings)), out=first[1:])
+    first = np.zeros(n_strings + 1, np.int64)
+    np.cumsum(np.bincount(of, minlength=n_strings), out=first[1:])
     string = of[begin] if len(begin) else np.zeros(0, np.int64)
     by_sid = np.argsort(sid, kind="stable")
     low, high = np.searchsorted(sid[by_sid], string, "left"), np.searchsorted(sid[by_sid], string, "right")
@@ -239,12 +267,14 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
                     yield out(*(ranges[name] for name, _ in _RANGES))
                     continue
                 if bucket != at and blobs:
-                    yield out(*_bucket_ranges(blobs, window))
+                    for found in _bucket_ranges(blobs, window):
+                        yield out(*found)
                     blobs = []
                 at = bucket
                 blobs.append(blob)
         if blobs:
-            yield out(*_bucket_ranges(blobs, window))
+            for found in _bucket_ranges(blobs, window):
+                yield out(*found)
 
     def out(doc, text, start, end):
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(text.view(np.int64)), pa.array(start), pa.array(end)], ["doc", "text_hash", "start", "end"])
@@ -272,7 +302,7 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucke
 
     def cut(batches):
         at, spans = None, []
-        for batch in slices(batches, "bytes", 8 << 20):
+        for batch in slices(batches, "bytes", 4 << 20):
             doc, text, role, start, end = (batch.column(k).to_pylist() for k in range(5))
             bytes_, rows, kept, n_words, n_removed = batch.column(5), [], [], [], []
             for i in range(batch.num_rows):
