@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm import knlm, simhash, superkmer
+from papyra.llm import knlm, mixing, risk_rules, simhash, superkmer
 from papyra.llm.common import fold, read
 
 
@@ -26,5 +26,14 @@ def op8_kneser_ney_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knlm.score(docs, model).withColumn("held_out", held_out)
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring)}
-ORACLE_SQL: dict[str, str] = {}
+def op2_capped_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op10_risk_controlled_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = risk_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op2_capped_water_filling_mix": mixing.ORACLE_SQL}
