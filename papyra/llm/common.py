@@ -26,8 +26,8 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(fn, schema)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` (binary) holds about ``most`` bytes in each; a longer row stands alone."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` (binary) holds about ``most`` bytes, and ``rows`` rows at most, in each; a longer row stands alone."""
     for batch in batches:
         n = batch.num_rows
         if n == 0:
@@ -35,7 +35,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterato
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
-            if i > start and held + size > most:
+            if i > start and (held + size > most or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size

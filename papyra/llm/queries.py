@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm import knlm, mixing, risk_rules, simhash, superkmer
+from papyra.llm import decontam, knlm, mixing, risk_rules, simhash, superkmer, warc
 from papyra.llm.common import fold, read
 
 
@@ -35,5 +35,13 @@ def op10_risk_controlled_quality_rules(spark: SparkSession, sf_dir: str) -> Data
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules)}
+def op9_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules, op9_qgram_decontamination, op1_warc_round_trip)}
 ORACLE_SQL: dict[str, str] = {"op2_capped_water_filling_mix": mixing.ORACLE_SQL}
