@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm import decontam, knlm, mixing, risk_rules, simhash, superkmer, warc
+from papyra.llm import decontam, htmldiff, knlm, mixing, puquality, risk_rules, simhash, superkmer, toxicity, warc
 from papyra.llm.common import fold, read
 
 
@@ -43,5 +43,20 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules, op9_qgram_decontamination, op1_warc_round_trip)}
+def op5_html_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmldiff.extract(read(spark, sf_dir, "pages"))
+
+
+def op3_boosted_trees_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op6_pu_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scorer = puquality.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, scorer, puquality.FOLDS, puquality.HELD_OUT, puquality.CUTOFF)
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules, op9_qgram_decontamination, op1_warc_round_trip, op5_html_page_differencing, op3_boosted_trees_toxicity, op6_pu_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {"op2_capped_water_filling_mix": mixing.ORACLE_SQL}
