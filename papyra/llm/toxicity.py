@@ -1,10 +1,10 @@
 """Toxicity scores by gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Features of the whole text: densities of lexicons (fixed ones, and one learned from the labels), lexicon words
-near second-person words, the densest stretch, capitals, punctuation and obfuscation rates. Trees are
+Features of the whole text: densities of lexicons (fixed ones, and one of word stems learned from the labels),
+lexicon words near second-person words, the densest stretch, capitals, punctuation and obfuscation rates. Trees are
 fitted on the driver to a bounded sample: of the labelled rows outside the held-out fold, up to
 ``SAMPLE_POSITIVE`` and ``SAMPLE_NEGATIVE`` with the least md5 of the id, weighted back to their true shares.
-The learned lexicon is cross-fitted: a training row's density uses words learned from the other half.
+The learned lexicon is cross-fitted: a training row's densities use stems learned from the other half.
 Calibration uses scores of trees that didn't see the row.
 
 Nulls and empties: a null or empty text has zero features and gets a score like any other. Null labels and
@@ -24,14 +24,16 @@ from papyra.llm.common import fold, slices
 from papyra.llm.labelled import agreed, by_hash, with_texts
 
 FOLDS, HELD_OUT, CUTOFF = 4, 2, 0.3
-SAMPLE_POSITIVE, SAMPLE_NEGATIVE, LEARNED_WORDS = 8_000, 12_000, 300
+SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 8_000, 12_000
+#: Learned stems: how many at most, their lengths in letters, the fewest label-1 texts and the least log odds.
+STEMS, STEM_LENGTHS, STEM_TEXTS, STEM_ODDS, STRONG = 300, range(3, 9), 8, 1.5, 3.0
 SLICE_BYTES, STRETCH, NEAR = 4 << 20, 50, 5
 # Words of abuse, threat and second person in four languages.
 INSULTS = frozenset(
     w.encode()
     for w in (
         "idiot idiots idiotic moron morons moronic stupid stupidity dumb dumbass loser losers pathetic worthless trash scum clown clowns disgusting ugly fool fools freak garbage jerk liar imbecile cretin "
-        "dimwit vermin filth filthy coward bastard bitch asshole shit crap fuck fucking fucker damn slut whore retard retarded pig swine rat scumbag lowlife weirdo creep nasty vile useless repulsive "
+        "dimwit vermin filth filthy coward bastard bitch asshole shit crap fuck fucking fucker damn slut whore retard retarded pig swine rat scumbag lowlife weirdo creep nasty useless repulsive "
         "dummkopf dumm blöd blöde trottel arschloch abschaum wertlos ekelhaft müll versager schwein hure idiote stupide crétin imbécile connard ordure minable dégoûtant raté salaud merde pute "
         "idiota estúpido estúpida imbécil tonto tonta basura patético asqueroso inútil perdedor payaso mierda puta cabrón"
     ).split()
@@ -42,25 +44,51 @@ _PUNCTUATION = bytes(32 if chr(b) in "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~" else b f
 _LEET = bytes.maketrans(b"@0134$5!7", b"aoieassit")
 _LETTERS = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 _UPPER = np.arange(65, 91)
-NAMES = ["words", "insults", "insults_n", "threats", "learned", "learned_n", "second", "near", "stretch", "capitals", "exclaims", "questions", "stops", "digits", "symbols", "runs", "leet", "leet_hits"]
+NAMES = ["words", "insults", "insults_n", "threats", "stems", "stems_n", "strong_n", "odds", "second", "near", "stretch", "capitals", "exclaims", "questions", "stops", "digits", "symbols", "runs", "leet", "leet_hits"]
 
 
-def features(text: bytes, learned: frozenset[bytes]) -> list[float]:
+class Stems:
+    """Word beginnings with the log odds of label 1 for a text that has them."""
+
+    def __init__(self, odds: dict[str, float] | None = None):
+        self.heads: dict[bytes, list[tuple[bytes, float]]] = {}
+        for stem, value in (odds or {}).items():
+            self.heads.setdefault(stem.encode()[:3], []).append((stem.encode(), value))
+
+    def of(self, words: set[bytes]) -> dict[bytes, float]:
+        """The largest odds of each word that begins with a stem."""
+        found, heads = {}, self.heads
+        for w in words:
+            if (near := heads.get(w[:3])) is not None:
+                odds = max((v for stem, v in near if w.startswith(stem)), default=0.0)
+                if odds:
+                    found[w] = odds
+        return found
+
+
+def _words(text: bytes) -> tuple[bytes, list[bytes]]:
+    low = text.decode("utf-8", "replace").lower().encode()
+    return low, low.translate(_PUNCTUATION).split()
+
+
+def features(text: bytes, learned: Stems) -> list[float]:
     """The figures of ``NAMES`` for one text."""
-    low = text.lower()
-    words = low.translate(_PUNCTUATION).split()
+    low, words = _words(text)
     n, size = max(len(words), 1), max(len(text), 1)
     have = set(words)
     letters = np.frombuffer(text, np.uint8)
     count = np.bincount(letters, minlength=256)
     alpha = max(int(count[_LETTERS].sum()), 1)
-    insults = threats = taught = near = stretch = 0
+    insults = threats = taught = strong = near = stretch = 0
+    odds = 0.0
     second = sum(w in SECOND_PERSON for w in words) if have & SECOND_PERSON else 0
-    if have & INSULTS or have & THREATS or have & learned:
-        at = [i for i, w in enumerate(words) if w in INSULTS or w in THREATS or w in learned]
+    stems = learned.of(have)
+    if stems or have & INSULTS or have & THREATS:
+        at = [i for i, w in enumerate(words) if w in stems or w in INSULTS or w in THREATS]
         insults = sum(words[i] in INSULTS for i in at)
         threats = sum(words[i] in THREATS for i in at)
-        taught = sum(words[i] in learned for i in at)
+        values = [stems.get(words[i], 0.0) for i in at]
+        taught, strong, odds = sum(v > 0 for v in values), sum(v >= STRONG for v in values), sum(values)
         near = sum(any(w in SECOND_PERSON for w in words[max(0, i - NEAR) : i + NEAR + 1]) for i in at) if second else 0
         place = np.array(at)
         stretch = int((np.searchsorted(place, place + STRETCH) - np.arange(len(place))).max())
@@ -85,12 +113,12 @@ def features(text: bytes, learned: frozenset[bytes]) -> list[float]:
     exclaims, questions, stops = int(count[33]), int(count[63]), int(count[46] + count[44])
     digits, symbols = int(count[48:58].sum()), int(count[[35, 36, 37, 38, 42, 124, 60, 62, 64, 94, 126]].sum())
     return [
-        np.log1p(len(words)), 100 * insults / n, np.log1p(insults), 100 * threats / n, 100 * taught / n, np.log1p(taught), 100 * second / n, near, stretch,
+        np.log1p(len(words)), 100 * insults / n, np.log1p(insults), 100 * threats / n, 100 * taught / n, np.log1p(taught), np.log1p(strong), 100 * odds / n, 100 * second / n, near, stretch,
         int(count[_UPPER].sum()) / alpha, exclaims / n, questions / n, stops / n, digits / size, symbols / size, 100 * runs / size, 100 * leet / n, leet_hits,
     ]
 
 
-def matrix(texts: list[bytes | None], learned: frozenset[bytes]) -> np.ndarray:
+def matrix(texts: list[bytes | None], learned: Stems) -> np.ndarray:
     return np.array([features(t or b"", learned) for t in texts], float).reshape(-1, len(NAMES))
 
 
@@ -154,9 +182,9 @@ def isotonic(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
 
 
 class Scorer:
-    """Learned lexicon, trees and calibration."""
+    """Learned stems, trees and calibration."""
 
-    def __init__(self, learned=frozenset(), trees: Trees | None = None, knots=None, constant: float = 0.0):
+    def __init__(self, learned: Stems | None = None, trees: Trees | None = None, knots=None, constant: float = 0.0):
         self.learned, self.trees, self.knots, self.constant = learned, trees, knots, constant
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
@@ -167,19 +195,42 @@ class Scorer:
         return np.clip(0.999 * np.interp(raw, *self.knots) + 0.001 / (1 + np.exp(-raw)), 0, 1)
 
 
-def _lexicons(sample: DataFrame) -> dict[int, frozenset[bytes]]:
-    """Words that mark label 1, learned from rows of half 0, half 1, and both (key 2): at most LEARNED_WORDS each."""
-    plain = F.regexp_replace(F.lower(F.col("text").cast("string")), r"[\p{Punct}\s]+", " ")
-    words = sample.select("half", "y", F.explode(F.array_distinct(F.split(plain, " "))).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(*[F.count_if((F.col("half") == h) & (F.col("y") == y)).alias(f"n{h}{y}") for h in (0, 1) for y in (0, 1)])
+def _stems(sample: DataFrame) -> dict[int, Stems]:
+    """Stems that mark label 1, learned from rows of half 0, half 1, and both (key 2): at most STEMS each."""
+
+    def count(batches):
+        held: dict[str, list[int]] = {}
+        for part in slices(batches, "text", SLICE_BYTES):
+            for half, y, text in zip(*(part.column(c).to_pylist() for c in ("half", "y", "text"))):
+                words = {w.decode("utf-8", "replace") for w in _words(text)[1]}
+                for stem in {w[:k] for w in words for k in STEM_LENGTHS if len(w) >= k}:
+                    held.setdefault(stem, [0, 0, 0, 0])[2 * half + y] += 1
+            if len(held) > 200_000:
+                yield packed(held)
+                held = {}
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), *(pa.array([v[k] for v in held.values()], pa.int64()) for k in range(4))], ["stem", "n00", "n01", "n10", "n11"])
+
+    counts = sample.select("half", "y", "text").mapInArrow(count, "stem string, n00 long, n01 long, n10 long, n11 long")
+    counts = counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")]).where(F.col("n01") + F.col("n11") >= STEM_TEXTS // 2).persist()
     sizes = {(r["half"], r["y"]): r["count"] for r in sample.groupBy("half", "y").count().collect()}
     out = {}
     for key, halves in ((0, (0,)), (1, (1,)), (2, (0, 1))):
         pos, neg = (sum((F.col(f"n{h}{y}") for h in halves), F.lit(0)) for y in (1, 0))
         n_pos, n_neg = (max(sum(sizes.get((h, y), 0) for h in halves), 1) for y in (1, 0))
-        odds = F.log((pos + 0.5) / n_pos) - F.log((neg + 0.5) / n_neg)
-        top = counts.where((pos >= 8) & (odds > 2)).orderBy((odds * F.sqrt(pos)).desc(), "word").limit(LEARNED_WORDS).select("word").collect()
-        out[key] = frozenset(r["word"].encode() for r in top)
+        odds = F.log((pos + 0.5) / (n_pos + 1)) - F.log((neg + 0.5) / (n_neg + 1))
+        enough = STEM_TEXTS if key == 2 else STEM_TEXTS // 2
+        top = counts.select("stem", odds.alias("odds"), (odds * F.sqrt(pos)).alias("rank")).where((pos >= enough) & (odds >= STEM_ODDS)).orderBy(F.col("rank").desc(), "stem").limit(10 * STEMS).collect()
+        kept: dict[str, float] = {}
+        for r in top:
+            # A longer stem is kept beside a shorter one only if it says more.
+            if len(kept) < STEMS and not any(kept.get(r["stem"][:k], -9.0) >= r["odds"] - 0.5 for k in range(2, len(r["stem"]))):
+                kept[r["stem"]] = r["odds"]
+        out[key] = Stems(kept)
+    counts.unpersist()
     return out
 
 
@@ -192,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", folds: int =
     chosen = by_hash(known.where("y = 1"), SAMPLE_POSITIVE).unionByName(by_hash(known.where("y = 0"), SAMPLE_NEGATIVE))
     half = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 64), F.lit(2)).cast("int")
     sample = with_texts(docs, chosen).withColumn("half", half).persist()
-    learned = _lexicons(sample)
+    learned = _stems(sample)
 
     def measure(batches):
         for part in slices(batches, "text", SLICE_BYTES):
