@@ -47,3 +47,13 @@ def filesystem(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
+def keep_rows(df: DataFrame, judge: Callable[[list[bytes | None]], list[bool]], most: int = 4 << 20) -> DataFrame:
+    """The rows of ``df``, with all their columns, for whose ``text`` (UTF-8, or None) ``judge`` says True."""
+
+    def run(batches):
+        for part in slices(batches, "text", most):
+            yield part.filter(pa.array(judge(part.column("text").cast(pa.binary()).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

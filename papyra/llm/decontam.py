@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from papyra.llm.common import filesystem, slices
+from papyra.llm.common import filesystem, keep_rows, slices
 from papyra.shared import shared_path
 
 Q, EDITS_PER_BYTE, BLOCK_BYTES, SLICE_BYTES = 6, 1 / 8, 1 << 18, 2 << 20
@@ -177,9 +176,8 @@ def _load(folder: str, name: str) -> Block:
         return pickle.loads(f.read())
 
 
-def _found(batch: pa.RecordBatch, folder: str, names: list[str]) -> list[tuple[int, int | None, int]]:
-    texts = batch.column("text").to_pylist()
-    return sorted((t, block.ids[i], e) for block in (_load(folder, n) for n in names) for t, i, e in matches_of(block, texts))
+def _found(texts: list[bytes | None], folder: str, names: list[str]) -> list[tuple[int, int | None, int]]:
+    return [(t, block.ids[i], e) for block in (_load(folder, n) for n in names) for t, i, e in matches_of(block, texts)]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -189,7 +187,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in slices(batches, "text", SLICE_BYTES):
-            found = _found(part, folder, names)
+            found = _found(part.column("text").to_pylist(), folder, names)
             if found:
                 ids = part.column("doc_id").take(pa.array([t for t, _, _ in found]))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([i for _, i, _ in found], pa.int64()), pa.array([e for _, _, e in found], pa.int64())], ["doc_id", "item_id", "edits"])
@@ -203,13 +201,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     folder = shared_path(docs.sparkSession, "benchmark")
     names = _blocks(benchmark, folder)
 
-    def run(batches):
-        for part in slices(batches, "text", SLICE_BYTES):
-            dirty = {t for t, _, _ in _found(part, folder, names)}
-            keep = [t not in dirty for t in range(part.num_rows)]
-            yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(keep))], ["row"])
-
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.col("text").cast("binary").alias("text"), row)
-    kept = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    def judge(texts):
+        dirty = {t for t, _, _ in _found(texts, folder, names)}
+        return [k not in dirty for k in range(len(texts))]
+
+    return keep_rows(docs, judge, SLICE_BYTES)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import slices
+from papyra.llm.common import keep_rows, slices
 from papyra.llm.labelled import agreed, by_hash, with_texts
 
 FOLDS, HELD_OUT, CUTOFF = 5, 0, 0.3
@@ -137,3 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int
         return Scorer(None, prior)
     network = Network(np.concatenate([positive, unlabelled]))
     return Scorer(network.fit(positive, unlabelled, min(prior, 0.99)), prior)
+
+
+def keep_good(docs: DataFrame, scorer: Scorer, cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that are predicted 1, with all their columns."""
+    return keep_rows(docs, lambda texts: (scorer.score(texts) >= cutoff).tolist(), SLICE_BYTES)

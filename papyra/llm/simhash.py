@@ -20,7 +20,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyra.llm.common import arrow_map
@@ -167,16 +167,41 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     return arrow_map(dealt, run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id): one row per document; component_id is the smallest doc_id reachable by links."""
-    each = written(fingerprints(docs, shingle, seed), "simhash")
+def _components(each: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint; root is a fingerprint of the component."""
     nodes = written(each.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
     roots = connected_components(links(nodes, radius, tile_rows)).withColumnRenamed("node", "fp")
     tied = nodes.join(roots, "fp").select("fp", "root", "low")
     lows = tied.groupBy("root").agg(F.min("low").alias("component_id"))
-    linked = tied.join(lows, "root").select("fp", "component_id")
-    of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return each.join(of, "fp", "left").select("doc_id", "fp", "component_id")
+    linked = tied.join(lows, "root").select("fp", "root", "component_id")
+    return nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(doc_id, fp, component_id): one row per document; component_id is the smallest doc_id reachable by links."""
+    each = written(fingerprints(docs, shingle, seed), "simhash")
+    return each.join(_components(each, radius, tile_rows), "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest doc_id, null last; of rows that
+    repeat it, that with the least hash of the text; of rows that repeat both, any one."""
+    last = F.lit((1 << 63) - 1)
+    keys = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+
+    def run(batches):
+        for batch in batches:
+            fps = np.array([fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), batch.column(2)], ["doc_id", "fp", "text_hash"])
+
+    rows = keys.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "text_hash")
+    each = written(arrow_map(rows, run, "doc_id long, fp long, text_hash long"), "simhash")
+    known = each.join(_components(each, radius, tile_rows), "fp").select("root", F.coalesce("doc_id", last).alias("doc_id"), "text_hash")
+    chosen = known.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_text"))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), last), "_text": F.xxhash64("text")})
+    kept = keyed.join(written(chosen.distinct(), "simhash-kept"), ["_id", "_text"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("_id", "_text").orderBy("_text"))
+    return kept.withColumn("_n", first).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def fingerprint_text(fp):
