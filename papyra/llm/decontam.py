@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from papyra.llm.common import filesystem, keep_rows, slices
 from papyra.shared import shared_path
 
-Q, EDITS_PER_BYTE, BLOCK_BYTES, SLICE_BYTES = 6, 1 / 8, 1 << 18, 2 << 20
+Q, EDITS_PER_BYTE, SLACK, BLOCK_BYTES, SLICE_BYTES = 6, 1 / 8, 16, 1 << 18, 1 << 19
 _MASK = np.uint64((1 << 8 * Q) - 1)
-_FILTER_BITS = 21
+_FILTER_BITS = 18
 _GAP = b"\n" * 8
 
 
@@ -48,55 +48,82 @@ def _slot(codes: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Some items with the index of their q-grams."""
+    """Some items with the index of their q-grams.
+
+    An edit destroys q grams at most, so of any q * edits + 1 + SLACK grams of an item a match keeps SLACK + 1. Only
+    the grams rarest in the block are indexed, that many for each item.
+    """
 
     def __init__(self, ids: list, texts: list[bytes]):
         self.ids, self.texts = ids, texts
         n = np.array([len(t) for t in texts], np.int64)
         self.length = n
         self.edits = np.minimum((n * EDITS_PER_BYTE).astype(np.int64), (n - Q) // Q)
-        self.bound = n - Q + 1 - self.edits * Q
         grams = [_codes(t)[: len(t) - Q + 1] for t in texts]
-        code, item = np.concatenate(grams), np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams])
-        order = np.argsort(code, kind="stable")
-        code, self.item, self.place = code[order], item[order].astype(np.int32), place[order].astype(np.int32)
-        self.code, self.first = np.unique(code, return_index=True)
-        self.count = np.diff(np.concatenate([self.first, [len(code)]]))
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[_slot(self.code)] = True
+        self.grams = grams
+        seen, inverse, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        often, at, code, item, place = count[inverse], 0, [], [], []
+        for i, g in enumerate(grams):
+            rare = np.argsort(often[at : at + len(g)], kind="stable")[: Q * int(self.edits[i]) + 1 + SLACK]
+            at += len(g)
+            code.append(g[rare])
+            item.append(np.full(len(rare), i))
+            place.append(rare)
+        self.bound = np.array([len(c) for c in code]) - Q * self.edits
+        code = np.concatenate(code)
+        slot = _slot(code)
+        order = np.argsort(slot, kind="stable")
+        self.code, self.item, self.place = code[order], np.concatenate(item)[order].astype(np.int32), np.concatenate(place)[order].astype(np.int32)
+        self.count = np.bincount(slot.astype(np.int64), minlength=1 << _FILTER_BITS).astype(np.int32)
+        self.first = (np.cumsum(self.count) - self.count).astype(np.int32)
+        self.some = self.count > 0
 
 
 def _bands(block: Block, buffer: bytes, doc_start: np.ndarray):
     """(doc, item, first diagonal) of the bands that meet the bound."""
     codes = _codes(buffer)
-    at = np.flatnonzero(block.filter[_slot(codes)])
-    found = codes[at]
-    k = np.minimum(np.searchsorted(block.code, found), len(block.code) - 1)
-    hit = block.code[k] == found
-    at, k = at[hit], k[hit]
-    none = np.zeros(0, np.int64)
-    if not len(at):
-        return none, none, none
-    doc = np.searchsorted(doc_start, at, "right") - 1
-    count = block.count[k]
+    slots = _slot(codes).astype(np.int32)
+    at = np.flatnonzero(block.some[slots])
+    slots = slots[at]
+    count = block.count[slots]
+    before = np.cumsum(count) - count
+    grams = np.arange(count.sum(), dtype=np.int64) + np.repeat(block.first[slots] - before, count)
+    at = np.repeat(at, count)
+    same = block.code[grams] == codes[at]
+    at, grams = at[same], grams[same]
     n_items = len(block.texts)
-    grams = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(block.first[k], count)
-    item = block.item[grams].astype(np.int64)
-    pair = np.repeat(doc, count) * n_items + item
+    doc = np.searchsorted(doc_start, at, "right") - 1 if len(doc_start) > 1 else np.zeros(len(at), np.int64)
+    item = block.item[grams]
+    pair = doc * n_items + item
     enough = np.bincount(pair, minlength=len(doc_start) * n_items).reshape(-1, n_items) >= block.bound
     keep = enough.reshape(-1)[pair]
     pair, item = pair[keep], item[keep]
-    diagonal = np.repeat(at, count)[keep] - block.place[grams[keep]]
-    width = block.edits[item] + 1
-    band = (diagonal + (1 << 20)) // width
+    diagonal = at[keep] - block.place[grams[keep]]
+    band = (diagonal + (1 << 20)) // (block.edits[item] + 1)
     span = np.int64(1) << 34
-    key, shared = np.unique(np.concatenate([pair * span + band, pair * span + band - 1]), return_counts=True)
-    pair, band = key // span, key % span
+    key = pair * span + band
+    key = np.concatenate([key, key - 1])
+    key.sort()
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    shared = np.diff(np.concatenate([first, [len(key)]]))
+    pair, band = key[first] // span, key[first] % span
     item = pair % n_items
     full = shared >= block.bound[item]
     pair, band, item = pair[full], band[full], item[full]
-    return pair // n_items, item, band * (block.edits[item] + 1) - (1 << 20)
+    first = band * (block.edits[item] + 1) - (1 << 20)
+    lemma = np.array([_meets_lemma(block, codes, i, f) for i, f in zip(item.tolist(), first.tolist())], bool)
+    return (pair // n_items)[lemma], item[lemma], first[lemma]
+
+
+def _meets_lemma(block: Block, codes: np.ndarray, item: int, first: int) -> bool:
+    """Whether enough of all the item's q-grams stand on the band's diagonals."""
+    grams, width = block.grams[item], 2 * (int(block.edits[item]) + 1)
+    low, high = max(first, 0), first + len(grams) + width - 1
+    part = codes[low:high]
+    if low > first or len(part) < high - low:
+        part = np.concatenate([np.zeros(low - first, np.uint64), part, np.zeros(high - low - len(part), np.uint64)])
+    seen = (np.lib.stride_tricks.sliding_window_view(part, width) == grams[:, None]).any(axis=1)
+    return int(seen.sum()) >= len(grams) - Q * int(block.edits[item])
 
 
 def banded_distance(letters: np.ndarray, low: np.ndarray, high: np.ndarray, texts: list[bytes], first: np.ndarray, width: np.ndarray) -> np.ndarray:
