@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the reply that a judge is asked for is one JSON object of this shape.
 from papyra.schemas import JUDGE
 
 NO_CONTEXT = "（无检索资料）"
@@ -103,6 +102,6 @@ def coverage_split(rated: DataFrame, accuracy: str = "answer_accuracy") -> DataF
     return rated.where("n_sources is not null").groupBy(kind.alias("coverage")).agg(F.count("*").alias("n"), F.bround(F.avg(accuracy), 3).alias("accuracy"))
 
 
-def composite(summary: DataFrame) -> DataFrame:
+def composite(summary: DataFrame, places: int = 3) -> DataFrame:
     """Mean of the four metrics."""
-    return summary.withColumn("composite", F.bround(sum(F.col(m) for m in JUDGE_METRICS) / len(JUDGE_METRICS), 3))
+    return summary.withColumn("composite", F.bround(sum(F.col(m) for m in JUDGE_METRICS) / len(JUDGE_METRICS), places))

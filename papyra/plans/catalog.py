@@ -628,10 +628,10 @@ def coverage_split(spark, sf_dir):
 _MEANS = ", ".join(f"round_even(avg({m}) FILTER (WHERE {_OK}), 3)::DOUBLE AS {m}" for m in _MARKS)
 
 
-@query(f"WITH {_JUDGED}, s AS (SELECT set, {_MEANS} FROM judged GROUP BY set) SELECT set, round_even((faithfulness + citation + answer_accuracy + rejection) / 4, 3)::DOUBLE AS composite FROM s")
+@query(f"WITH {_JUDGED}, s AS (SELECT set, {_MEANS} FROM judged GROUP BY set) SELECT set, round_even((faithfulness + citation + answer_accuracy + rejection) / 4, 6)::DOUBLE AS composite FROM s")
 def composite_mean(spark, sf_dir):
     summary = evaluate.judge_summary(_replies(spark, sf_dir).select("set", "infra_failed", *[f"j.{m}" for m in _MARKS])).where("set is not null")
-    return evaluate.composite(summary).select("set", "composite")
+    return evaluate.composite(summary, 6).select("set", "composite")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

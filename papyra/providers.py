@@ -130,7 +130,7 @@ def rerank_table(candidates: DataFrame, reranker: Reranker, k: int) -> DataFrame
     return candidates.groupBy("qid").applyInPandas(run, f"qid {s['qid'].dataType.simpleString()}, id {s['id'].dataType.simpleString()}, score double, rank int")
 
 
-def generate_table(rows: DataFrame, generator: Generator) -> DataFrame:
+def generate_table(rows: DataFrame, generator: Generator, pause: Callable[[int], float] = lambda n: 2.0 * 2**n) -> DataFrame:
     """(qid, answer, error) from (qid, messages); a failing call gives its error and an empty answer."""
 
     def run(frames: Iterator[pd.DataFrame]):
@@ -138,7 +138,7 @@ def generate_table(rows: DataFrame, generator: Generator) -> DataFrame:
             out = []
             for qid, given in zip(pdf["qid"], pdf["messages"]):
                 try:
-                    out.append((qid, retried(lambda given=given: generator.answer([dict(m) for m in given]), pause=lambda n: 2.0 * 2**n), None))
+                    out.append((qid, retried(lambda given=given: generator.answer([dict(m) for m in given]), pause=pause), None))
                 except Exception as e:
                     out.append((qid, "", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["qid", "answer", "error"])
