@@ -25,7 +25,6 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,16 +36,11 @@ from papyra.shared import input_bytes
 WINDOW, MMER = 50, 5
 BUCKET_BYTES, SLICE_BYTES, FLUSH_BYTES = 40 << 20, 1 << 20, 20 << 20
 SUB = 8  # a bucket is worked through in so many parts
-_C = np.uint64(0x9E3779B97F4A7C15)
+_B, _C = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
 _NULL_ID = (1 << 63) - 1
 _META = [("sid", np.int32), ("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32)]
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh3_64_digest
-    return np.frombuffer(b"".join([digest(w) for w in words]), np.uint64)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -73,33 +67,49 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
-def _layout(words: list[list[bytes]]):
-    """One buffer of all words, single spaces between; starts and ends of the words, and the list each is of."""
-    flat = [w for ws in words for w in ws]
-    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-    ends = np.cumsum(sizes + 1) - 1
-    return b" ".join(flat), ends - sizes, ends, np.repeat(np.arange(len(words)), [len(w) for w in words]), flat
+class _Words:
+    """Words of a buffer in which single spaces part words and line ends part lists of words; no list is empty."""
+
+    def __init__(self, buffer: bytes):
+        self.buffer, letters = buffer, np.frombuffer(buffer, np.uint8)
+        cuts = np.flatnonzero((letters == 32) | (letters == 10))
+        self.of = np.concatenate([[0], np.cumsum(letters[cuts] == 10)])
+        self.starts, self.ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(buffer)]])
+
+    def hashes(self, chunk: int = 100_000) -> np.ndarray:
+        """A 64-bit polynomial of each word's bytes."""
+        letters, out = np.frombuffer(self.buffer, np.uint8), np.empty(len(self.starts), np.uint64)
+        power = np.multiply.accumulate(np.full(int((self.ends - self.starts).max()) + 1, _B, np.uint64))
+        for k in range(0, len(out), chunk):
+            starts, ends = self.starts[k : k + chunk], self.ends[k : k + chunk]
+            low, sizes = starts[0], ends - starts
+            value = letters[low : ends[-1] + 1].astype(np.uint64) + np.uint64(1)
+            place = np.arange(len(value)) - np.repeat(starts - low, sizes + 1)[: len(value)]
+            value *= power[place]
+            value[(ends - low)[ends - low < len(value)]] = 0
+            out[k : k + chunk] = np.add.reduceat(value, starts - low)
+        return out
 
 
 def _super_kmers(texts: list[bytes], window: int, mmer: int):
-    """(list index, first word in that list, minimiser, packed string) of every super-k-mer."""
-    words = [t.split() for t in texts]
-    counts = [len(w) for w in words]
-    if sum(counts) < window:
+    """(list index, first word in that list, number of words, minimiser, packed string) of every super-k-mer."""
+    lists = [(i, b" ".join(w)) for i, w in enumerate(t.split() for t in texts) if len(w) >= window]
+    if not lists:
         return
-    buffer, starts, ends, of, flat = _layout(words)
-    least = _least(_run_hashes(_word_hashes(flat), mmer), window - mmer + 1)
-    first = np.cumsum([0, *counts])
+    w = _Words(b"\n".join([x for _, x in lists]))
+    of = w.of
+    least = _least(_run_hashes(w.hashes(), mmer), window - mmer + 1)
+    first = np.searchsorted(of, np.arange(len(lists)))
     valid = of[: len(least)] == of[window - 1 :]
     new = np.ones(len(least), bool)
     new[1:] = (least[1:] != least[:-1]) | ~valid[:-1] | (of[1 : len(least)] != of[: len(least) - 1])
     begin = np.flatnonzero(valid & new)
     stop = np.ones(len(least), bool)
     stop[:-1] = new[1:] | ~valid[1:]
-    last = np.flatnonzero(valid & stop)
-    at = zip(of[begin].tolist(), (begin - first[of[begin]]).tolist(), least[begin].tolist(), starts[begin].tolist(), ends[last + window - 1].tolist())
-    for i, start, minimiser, a, b in at:
-        yield i, start, minimiser, buffer[a:b]
+    last = np.flatnonzero(valid & stop) + window
+    rows = of[begin].tolist(), (begin - first[of[begin]]).tolist(), (last - begin).tolist(), least[begin].tolist(), w.starts[begin].tolist(), w.ends[last - 1].tolist()
+    for i, start, n, minimiser, a, b in zip(*rows):
+        yield lists[i][0], start, n, minimiser, w.buffer[a:b]
 
 
 class _Batch:
@@ -174,6 +184,31 @@ def _bucket_ranges(blobs: list[bytes], window: int):
             yield _part_ranges(parts, window)
 
 
+def _runs_of_unlike(w: _Words, members: np.ndarray, first: np.ndarray, sizes: np.ndarray, window: int) -> list[int]:
+    """Runs of windows with one hash but different words. Each window is compared with the first of its run; windows that
+    follow each other in the text, and whose firsts do too, are compared in one piece."""
+    lead, run = np.repeat(members[first], sizes), np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(members, kind="stable")
+    k, lead, run = members[order], lead[order], run[order]
+    start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1] + 1) | (lead[1:] != lead[:-1] + 1)]))
+    stop = np.concatenate([start[1:], [len(k)]])
+    a, b, x, y = w.starts[k[start]], w.ends[k[stop - 1] + window - 1], w.starts[lead[start]], w.ends[lead[stop - 1] + window - 1]
+    unlike: set[int] = set()
+    for s, e, a_, b_, x_, y_ in zip(start.tolist(), stop.tolist(), a.tolist(), b.tolist(), x.tolist(), y.tolist()):
+        if a_ != x_ and w.buffer[a_:b_] != w.buffer[x_:y_]:
+            for i in range(s, e):
+                p, q = int(k[i]), int(lead[i])
+                if w.buffer[w.starts[p] : w.ends[p + window - 1]] != w.buffer[w.starts[q] : w.ends[q + window - 1]]:
+                    unlike.add(int(run[i]))
+    return sorted(unlike)
+
+
+def _only(members: np.ndarray, first: np.ndarray, sizes: np.ndarray, keep: np.ndarray):
+    """The groups that ``keep`` marks; groups lie one after another in ``members``."""
+    members, sizes = members[np.repeat(keep, sizes)], sizes[keep]
+    return members, np.cumsum(sizes) - sizes, sizes
+
+
 def _part_ranges(parts: list[bytes], window: int):
     metas, texts, n_strings = [], [], 0
     for part in parts:
@@ -186,34 +221,31 @@ def _part_ranges(parts: list[bytes], window: int):
     del texts, metas
     owner = np.zeros(n_strings, np.int64)
     owner[sid] = doc
-    letters = np.frombuffer(buffer, np.uint8)
-    ends = np.flatnonzero((letters == 32) | (letters == 10))
-    of = np.concatenate([[0], np.cumsum(letters[ends] == 10)])
-    starts, ends = np.concatenate([[0], ends + 1]), np.concatenate([ends, [len(buffer)]])
-    hashes = np.empty(len(starts), np.uint64)
-    for k in range(0, len(starts), 50_000):
-        hashes[k : k + 50_000] = _word_hashes([buffer[a:b] for a, b in zip(starts[k : k + 50_000].tolist(), ends[k : k + 50_000].tolist())])
-    hashes = _run_hashes(hashes, window)
+    w = _Words(buffer)
+    of = w.of
+    hashes = _run_hashes(w.hashes(), window)
     inside = np.flatnonzero(of[: len(hashes)] == of[window - 1 :]) if len(hashes) else np.zeros(0, np.int64)
-    order = np.argsort(hashes[inside], kind="stable")
-    inside = inside[order]
-    sorted_hashes = hashes[inside]
-    same = sorted_hashes[1:] == sorted_hashes[:-1]
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
+    inside = inside[np.argsort(hashes[inside], kind="stable")]
     hit = np.zeros(len(hashes), bool)
-    for a, b in zip(edge[::2].tolist(), (edge[1::2] + 1).tolist()):
-        run = inside[a:b]
-        owners = owner[of[run]]
-        if owners.min() == owners.max():
-            continue
-        groups: dict[bytes, list[int]] = {}
-        for w, s, e in zip(run.tolist(), starts[run].tolist(), ends[run + window - 1].tolist()):
-            groups.setdefault(buffer[s:e], []).append(w)
-        for members in groups.values():
-            of_each = owner[of[members]]
-            for w, d in zip(members, of_each.tolist()):
-                if d > of_each.min():
-                    hit[w] = True
+    new = np.concatenate([[True], hashes[inside[1:]] != hashes[inside[:-1]]]) if len(inside) else np.zeros(0, bool)
+    first_of = np.flatnonzero(new)
+    sizes = np.diff(np.concatenate([first_of, [len(inside)]]))
+    inside, first_of, sizes = _only(inside, first_of, sizes, sizes > 1)
+    if len(first_of):
+        owners = owner[of[inside]]
+        low, high = np.minimum.reduceat(owners, first_of), np.maximum.reduceat(owners, first_of)
+        inside, first_of, sizes = _only(inside, first_of, sizes, low < high)
+    if len(first_of):
+        owners = owner[of[inside]]
+        hit[inside[owners > np.repeat(np.minimum.reduceat(owners, first_of), sizes)]] = True
+        for run in _runs_of_unlike(w, inside, first_of, sizes, window):
+            members = inside[first_of[run] : first_of[run] + sizes[run]]
+            groups: dict[bytes, list[int]] = {}
+            for k in members.tolist():
+                groups.setdefault(buffer[w.starts[k] : w.ends[k + window - 1]], []).append(k)
+            for group in groups.values():
+                of_each = owner[of[group]]
+                hit[group] = of_each > of_each.min()
     spans = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     begin, stop = spans[::2], spans[1::2]
     # A span of hits may run over the end of a string only through windows that are not inside, which are never hit.
@@ -243,8 +275,8 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
             base = part.column("here")[0].as_py() if base is None else base
             ids, hashes = part.column("doc").to_pylist(), part.column("text_hash").to_numpy().view(np.uint64).tolist()
             texts = part.column("text").to_pylist()
-            for i, start, minimiser, packed in _super_kmers(texts, window, mmer):
-                batch.add(ids[i], hashes[i], start, minimiser, packed, packed.count(b" ") + 1)
+            for i, start, n, minimiser, packed in _super_kmers(texts, window, mmer):
+                batch.add(ids[i], hashes[i], start, minimiser, packed, n)
             if batch.bytes >= FLUSH_BYTES:
                 yield from flush(batch, base)
                 batch = _Batch()
