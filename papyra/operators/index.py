@@ -45,6 +45,8 @@ def build(corpus: DataFrame, path: str | None = None) -> Index:
     """Write the index of ``corpus`` (id, text); documents are tokenised once."""
     spark = corpus.sparkSession
     path = path or shared_path(spark, "index")
+    if corpus.isEmpty():
+        raise RuntimeError("the corpus is empty: extract, clean and chunk documents before building an index")
     token_table(corpus).write.mode("overwrite").parquet(f"{path}/tokens")
     toks = spark.read.parquet(f"{path}/tokens")
     postings_of(toks).repartition("tok").sortWithinPartitions("tok").write.mode("overwrite").parquet(f"{path}/postings")

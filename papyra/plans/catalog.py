@@ -374,30 +374,81 @@ def section_paths(spark, sf_dir):
     return blocks.groupBy("doc", "section", F.array_join("section_path", " / ").alias("path")).agg(F.count_if(F.col("kind") != "heading").alias("items")).withColumn("section", F.coalesce("section", F.lit(0)).cast("long"))
 
 
+def _packed_sql(source: str, keys: str) -> str:
+    """CTEs from ``source`` (keys, i, text) to ``fused`` (keys, gid, text, chars): the greedy folds as recursions over places."""
+    same = " AND ".join(f"x.{k} = r.{k}" for k in keys.split(", "))
+    own = ", ".join(f"x.{k}" for k in keys.split(", "))
+    return f"""
+sents AS (SELECT {keys}, i, unnest({_SENT}) AS s, unnest(range(len({_SENT}))) AS k FROM {source} WHERE length(text) > 300),
+srec AS (
+  SELECT {keys}, i, k, s, length(s) AS cur, 0 AS g FROM sents WHERE k = 0
+  UNION ALL SELECT {own}, x.i, x.k, x.s, CASE WHEN r.cur + length(x.s) > 300 THEN length(x.s) ELSE r.cur + length(x.s) END, r.g + CASE WHEN r.cur + length(x.s) > 300 THEN 1 ELSE 0 END
+  FROM srec r JOIN sents x ON {same} AND x.i = r.i AND x.k = r.k + 1),
+items AS (
+  SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY i, g) AS j, text, length(text) AS n, long FROM (
+    SELECT {keys}, i, 0 AS g, text, false AS long FROM {source} WHERE length(text) <= 300
+    UNION ALL SELECT {keys}, i, g, string_agg(s, '' ORDER BY k), true FROM srec GROUP BY {keys}, i, g)),
+prec AS (
+  SELECT {keys}, j, text, n, long, n AS cur, 1 AS grp FROM items WHERE j = 1
+  UNION ALL SELECT {own}, x.j, x.text, x.n, x.long, CASE WHEN r.long OR x.long OR (r.cur + x.n > 300 AND r.cur >= 100) THEN x.n ELSE r.cur + x.n END,
+    r.grp + CASE WHEN r.long OR x.long OR (r.cur + x.n > 300 AND r.cur >= 100) THEN 1 ELSE 0 END FROM prec r JOIN items x ON {same} AND x.j = r.j + 1),
+grp AS (SELECT {keys}, grp, sum(n) AS n, string_agg(text, chr(10) ORDER BY j) AS text FROM prec GROUP BY {keys}, grp),
+gids AS (SELECT *, count(*) FILTER (WHERE grp = 1 OR n >= 100) OVER (PARTITION BY {keys} ORDER BY grp) AS gid FROM grp),
+fused AS (SELECT {keys}, gid, sum(n)::BIGINT AS chars, string_agg(text, chr(10) ORDER BY grp) AS text FROM gids GROUP BY {keys}, gid)"""
+
+
+_TAIL = "array_to_string(list_filter(sents, lambda s, i: coalesce(list_sum(list_transform(sents[i + 1:], lambda t: length(t))), 0) < 45), '')"
+_CHUNKS = f"""
+WITH RECURSIVE {_BLOCKS}, {_CLEAN},
+sect AS (
+  SELECT *, count(*) FILTER (WHERE kind = 'heading') OVER (PARTITION BY doc ORDER BY block_idx) AS section,
+         coalesce(last_value(CASE WHEN kind = 'heading' THEN text END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY block_idx), '') AS path FROM clean),
+paras AS (SELECT doc, section, path, block_idx AS i, text FROM sect WHERE kind = 'para'), {_packed_sql("paras", "doc, section, path")},
+laps AS (SELECT *, lag({_SENT}) OVER (PARTITION BY doc, section ORDER BY gid) AS sents FROM fused),
+made AS (
+  SELECT doc, section, path, gid, CASE WHEN path <> '' THEN path || chr(10) ELSE '' END || CASE WHEN sents IS NULL THEN '' ELSE {_TAIL} || chr(10) END || text AS text,
+         count(*) OVER (PARTITION BY doc, section) AS n FROM laps),
+tails AS (SELECT *, lead(text) OVER w AS next, gid = n AS last, lead(gid) OVER w = n AS next_last FROM made WINDOW w AS (PARTITION BY doc, section ORDER BY gid)),
+merged AS (
+  SELECT doc, section, path, gid, CASE WHEN next_last AND length(next) < 100 THEN regexp_replace(text, '\\s+$', '') || chr(10) || regexp_replace(next, '^\\s+|\\s+$', '', 'g') ELSE text END AS text
+  FROM tails WHERE NOT (last AND n > 1 AND length(text) < 100)),
+chunks AS (SELECT format('chunk_{{:06d}}', row_number() OVER (ORDER BY doc, section, gid)) AS id, doc, path AS section_path, text, 1 AS start_page, 1 AS end_page FROM merged)"""
+
+
 def _chunks(spark, sf_dir):
     build = lambda: written(chunk.chunk_blocks(clean.clean_blocks(_blocks(spark, sf_dir))), "chunks")
     return _once(spark, sf_dir, "chunks", build)
 
 
-@query()
+@query(_CHUNKS + " SELECT * FROM chunks")
 def chunk_documents(spark, sf_dir):
     return _chunks(spark, sf_dir).select("id", "doc", F.array_join("section_path", " / ").alias("section_path"), "text", "start_page", "end_page")
 
 
-@query()
+@query(_CHUNKS + " SELECT count(*) AS n_chunks, round_even(avg(length(text)), 1)::DOUBLE AS mean_chars, max(length(text))::BIGINT AS max_chars, min(length(text))::BIGINT AS min_chars FROM chunks")
 def chunk_stats(spark, sf_dir):
-    return chunk.describe_chunks(_chunks(spark, sf_dir))
+    n = chunk.describe_chunks(_chunks(spark, sf_dir))
+    return n.select("n_chunks", "mean_chars", F.col("max_chars").cast("long").alias("max_chars"), F.col("min_chars").cast("long").alias("min_chars"))
 
 
-@query()
+@query(_CHUNKS + f", {_BM25} SELECT qid, id, score, rank FROM bm25r WHERE rank <= 5 AND score > 0".replace("doc_id AS id", "id").replace("FROM documents", "FROM chunks"))
 def chunk_bm25_topk(spark, sf_dir):
     """BM25 over chunks instead of documents."""
     corpus = _chunks(spark, sf_dir).select("id", "text")
     ix = _once(spark, sf_dir, "chunk-index", lambda: index.build(corpus, shared_path(spark, "chunk-bm25")))
-    return retrieve.bm25_topk(ix, _questions(spark, sf_dir), TOP_K)
+    return retrieve.bm25_topk(ix, _questions(spark, sf_dir), TOP_K).select("qid", "id", "score", F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+_PARAS = (
+    _LINES
+    + r", paras AS (SELECT doc_id, line_no AS i, text FROM (SELECT doc_id, line_no, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM lines) WHERE text <> '')"
+)
+
+
+@query(
+    f"WITH RECURSIVE {_PARAS}, {_packed_sql('paras', 'doc_id')} SELECT doc_id, coalesce(count(gid), 0)::BIGINT AS groups, coalesce(string_agg(chars::VARCHAR, ',' ORDER BY gid), '') AS sizes "
+    "FROM (SELECT doc_id FROM documents WHERE text IS NOT NULL) LEFT JOIN fused USING (doc_id) GROUP BY doc_id"
+)
 def pack_paragraphs(spark, sf_dir):
     """Groups of the lines of each document, before overlap: their number and sizes."""
     paras = F.filter(F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(i.alias("block_idx"), T.strip(t).alias("text"))), lambda p: p["text"] != "")

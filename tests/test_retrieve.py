@@ -4,8 +4,13 @@ from collections import Counter
 
 import pytest
 
-from papyra.operators import index, retrieve
-from papyra.providers import HashEmbedder, OverlapReranker, embed_table, rerank_table
+from pyspark.sql import functions as F
+
+from papyra.operators import index, judge, rag, retrieve
+from papyra.operators.evaluate import NO_CONTEXT
+from papyra.operators.generate import REJECT_ANSWER
+from papyra.providers import ExtractiveGenerator, HashEmbedder, OverlapReranker, embed_table, rerank_table
+from papyra.schemas import CHUNK
 
 CORPUS = [("chunk_000001", "公告A 版本更新内容说明"), ("chunk_000002", "公告B 逐猎狂途 活动开启"), ("chunk_000003", "公告C 维护补偿 时间")]
 
@@ -31,6 +36,23 @@ def test_bm25_finds_the_chunk(spark):
     assert again.terms.count() == ix.terms.count() and index.load_or_build(spark, ix.path, None).postings.count() == ix.postings.count()
 
 
+def test_empty_corpus_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="empty"):
+        index.build(spark.createDataFrame([], "id string, text string"))
+
+
+def test_answers_end_to_end(spark):
+    chunks = spark.createDataFrame([(i, "d", ["A"], t, [], 1, 2) for i, t in CORPUS], CHUNK)
+    ix = index.build(chunks.select("id", "text"))
+    q = spark.createDataFrame([("q1", "逐猎狂途 活动开启"), ("q2", "zzz")], "qid string, text string")
+    rows = {r["qid"]: r for r in rag.answer(ix, chunks, q, ExtractiveGenerator(), threshold=0.3).collect()}
+    assert rows["q1"]["answer"] == "公告B 逐猎狂途 活动开启 [chunk_000002]" and tuple(rows["q1"]["citations"]) == (1, 0, False) and rows["q1"]["topk"][0]["page"] == [1, 2]
+    assert rows["q2"]["rejected"] and rows["q2"]["answer"] == REJECT_ANSWER and rows["q2"]["citations"] is None
+    given = rag.answer(ix, chunks, q, ExtractiveGenerator(), threshold=0.3).withColumns({"gold_answer": F.lit("g"), "answerable": F.lit(True)})
+    asked = {r["qid"]: r["prompt"] for r in judge.prompts(given, chunks).collect()}
+    assert "[chunk_000002] 公告B" in asked["q1"] and NO_CONTEXT in asked["q2"] and set(judge.template(given).columns) > {"faithfulness"}
+
+
 def test_bm25_against_the_formula(spark):
     rng = random.Random(5)
     docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 12)))) for i in range(30)]
