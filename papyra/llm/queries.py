@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyra.llm import decontam, htmldiff, knlm, mixing, puquality, risk_rules, simhash, superkmer, toxicity, warc
 from papyra.llm.common import fold, read
+from papyra.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +60,3 @@ def op6_pu_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op7_superkmer_substring_dedup, op8_kneser_ney_lm_scoring, op2_capped_water_filling_mix, op10_risk_controlled_quality_rules, op9_qgram_decontamination, op1_warc_round_trip, op5_html_page_differencing, op3_boosted_trees_toxicity, op6_pu_quality_classifier)}
-ORACLE_SQL: dict[str, str] = {"op2_capped_water_filling_mix": mixing.ORACLE_SQL}
