@@ -39,6 +39,9 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the bytes of ``df``; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame, column: str = "text") -> int:
+    """Catalyst's estimate of the bytes of ``df``; where it has none (or no sensible one), ``column`` is measured."""
+    from pyspark.sql import functions as F
+
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return estimate if estimate < 1 << 50 else df.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
