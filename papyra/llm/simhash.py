@@ -180,7 +180,9 @@ def _components(each: DataFrame, radius: int, tile_rows: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fp, component_id): one row per document; component_id is the smallest doc_id reachable by links."""
     each = written(fingerprints(docs, shingle, seed), "simhash")
-    return each.join(_components(each, radius, tile_rows), "fp", "left").select("doc_id", "fp", "component_id")
+    # Written, so that both sides of the last join are plain shuffles and a group of equal fingerprints can be split.
+    of = written(_components(each, radius, tile_rows), "simhash-components")
+    return each.join(of, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -196,7 +198,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed
 
     rows = keys.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "text_hash")
     each = written(arrow_map(rows, run, "doc_id long, fp long, text_hash long"), "simhash")
-    known = each.join(_components(each, radius, tile_rows), "fp").select("root", F.coalesce("doc_id", last).alias("doc_id"), "text_hash")
+    known = each.join(written(_components(each, radius, tile_rows), "simhash-components"), "fp").select("root", F.coalesce("doc_id", last).alias("doc_id"), "text_hash")
     chosen = known.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_text"))
     keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), last), "_text": F.xxhash64("text")})
     kept = keyed.join(written(chosen.distinct(), "simhash-kept"), ["_id", "_text"], "left_semi")
