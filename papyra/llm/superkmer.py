@@ -7,9 +7,12 @@ meet in one bucket. There the windows are sorted by hash, and runs of one hash a
 so counts are exact. A window is covered in every document but the one with the smallest doc_id.
 
 Hot groups: a map task sends each distinct packed string once for each batch, for the batch's smallest
-doc_id; windows of its other documents are covered already and travel as plain ranges. So a passage that
-a third of all documents share reaches its bucket as one row for each batch. Buckets hold a bounded number of
-bytes: their number grows with the input. Strings of a bucket are compressed together.
+doc_id; windows of its other documents are covered already and travel as plain ranges. So the inside of a passage
+that a third of all documents share reaches its bucket as one row for each batch. The strings at the
+passage's ends differ in every document but have its minimisers; a first pass counts distinct strings for each
+minimiser, and windows of those with over ``HEAVY_STRINGS`` are dealt one by one, by a 128-bit digest of their
+words that then stands for the window. Buckets hold a bounded number of bytes: their number grows with the
+input. Strings of a bucket are compressed together.
 
 The ranges and the documents then meet in one sort on (doc_id, hash of text), read as a stream.
 
@@ -25,6 +28,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +40,9 @@ from papyra.shared import input_bytes
 WINDOW, MMER = 50, 5
 BUCKET_BYTES, SLICE_BYTES, FLUSH_BYTES = 40 << 20, 1 << 20, 20 << 20
 SUB = 8  # a bucket is worked through in so many parts
+HEAVY_STRINGS = 8192
 _B, _C = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_C), -1, 1 << 64))
 _NULL_ID = (1 << 63) - 1
 _META = [("sid", np.int32), ("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32)]
 
@@ -52,7 +58,7 @@ def _run_hashes(h: np.ndarray, width: int) -> np.ndarray:
     if n < width:
         return np.zeros(0, np.uint64)
     power = np.multiply.accumulate(np.full(n, _C, np.uint64))
-    inverse = np.multiply.accumulate(np.full(n - width + 1, np.uint64(pow(int(_C), -1, 1 << 64)), np.uint64))
+    inverse = np.multiply.accumulate(np.full(n - width + 1, _INVERSE))
     total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_mix(h) * power)])
     return _mix((total[width:] - total[:-width]) * inverse)
 
@@ -91,25 +97,35 @@ class _Words:
         return out
 
 
-def _super_kmers(texts: list[bytes], window: int, mmer: int):
-    """(list index, first word in that list, number of words, minimiser, packed string) of every super-k-mer."""
-    lists = [(i, b" ".join(w)) for i, w in enumerate(t.split() for t in texts) if len(w) >= window]
-    if not lists:
-        return
-    w = _Words(b"\n".join([x for _, x in lists]))
-    of = w.of
-    least = _least(_run_hashes(w.hashes(), mmer), window - mmer + 1)
-    first = np.searchsorted(of, np.arange(len(lists)))
-    valid = of[: len(least)] == of[window - 1 :]
-    new = np.ones(len(least), bool)
-    new[1:] = (least[1:] != least[:-1]) | ~valid[:-1] | (of[1 : len(least)] != of[: len(least) - 1])
-    begin = np.flatnonzero(valid & new)
-    stop = np.ones(len(least), bool)
-    stop[:-1] = new[1:] | ~valid[1:]
-    last = np.flatnonzero(valid & stop) + window
-    rows = of[begin].tolist(), (begin - first[of[begin]]).tolist(), (last - begin).tolist(), least[begin].tolist(), w.starts[begin].tolist(), w.ends[last - 1].tolist()
-    for i, start, n, minimiser, a, b in zip(*rows):
-        yield lists[i][0], start, n, minimiser, w.buffer[a:b]
+class _SuperKmers:
+    """Super-k-mers of some texts: ``text`` (index), ``start`` (first word in it), ``begin`` and ``end`` (words of the
+    buffer), ``minimiser`` and, if asked for, ``content`` (a hash of the words)."""
+
+    def __init__(self, texts: list[bytes], window: int, mmer: int, contents: bool = False):
+        lists = [(i, b" ".join(w)) for i, w in enumerate(t.split() for t in texts) if len(w) >= window]
+        self.text = self.start = self.begin = self.end = np.zeros(0, np.int64)
+        self.minimiser = self.content = np.zeros(0, np.uint64)
+        if not lists:
+            return
+        self.words = w = _Words(b"\n".join([x for _, x in lists]))
+        hashes, of = w.hashes(), w.of
+        least = _least(_run_hashes(hashes, mmer), window - mmer + 1)
+        first = np.searchsorted(of, np.arange(len(lists)))
+        valid = of[: len(least)] == of[window - 1 :]
+        new = np.ones(len(least), bool)
+        new[1:] = (least[1:] != least[:-1]) | ~valid[:-1] | (of[1 : len(least)] != of[: len(least) - 1])
+        stop = np.ones(len(least), bool)
+        stop[:-1] = new[1:] | ~valid[1:]
+        self.begin, self.end = np.flatnonzero(valid & new), np.flatnonzero(valid & stop) + window
+        self.text, self.start = np.array([i for i, _ in lists])[of[self.begin]], self.begin - first[of[self.begin]]
+        self.minimiser = least[self.begin]
+        if contents:
+            total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_mix(hashes) * np.multiply.accumulate(np.full(len(hashes), _C)))])
+            inverse = np.multiply.accumulate(np.full(len(hashes), _INVERSE))
+            self.content = (total[self.end] - total[self.begin]) * inverse[self.begin]
+
+    def packed(self, begin: int, end: int) -> bytes:
+        return self.words.buffer[self.words.starts[begin] : self.words.ends[end - 1]]
 
 
 class _Batch:
@@ -117,13 +133,16 @@ class _Batch:
 
     def __init__(self):
         self.strings: dict[bytes, list] = {}
+        self.digests: dict[bytes, list] = {}
         self.bytes = 0
         self.covered: list[tuple[int, int, int, int]] = []
 
     def add(self, doc: int, text: int, start: int, minimiser: int, packed: bytes, n_words: int) -> None:
-        kept = self.strings.get(packed)
+        """A packed string; with minimiser -1 the digest of a single window."""
+        strings = self.strings if minimiser >= 0 else self.digests
+        kept = strings.get(packed)
         if kept is None:
-            self.strings[packed] = [minimiser, n_words, doc, [(text, start)]]
+            strings[packed] = [minimiser, n_words, doc, [(text, start)]]
             self.bytes += len(packed) + 200
         elif doc == kept[2]:
             kept[3].append((text, start))
@@ -150,14 +169,33 @@ class _Batch:
                 meta = [(k, e[2], t, s) for k, e in enumerate(own) for t, s in e[3]]
                 columns = [np.array([m[j] for m in meta], kind).tobytes() for j, (_, kind) in enumerate(_META)]
                 parts.append(struct.pack("<q", len(meta)) + b"".join(columns) + b"\n".join([e[1] for e in own]))
-            yield bucket, squeeze.compress(struct.pack(f"<{SUB}q", *map(len, parts)) + b"".join(parts))
+            yield bucket, b"S" + squeeze.compress(struct.pack(f"<{SUB}q", *map(len, parts)) + b"".join(parts))
+        by = {}
+        for digest, (_, _, doc, places) in self.digests.items():
+            high, low = struct.unpack("<QQ", digest)
+            by.setdefault(high % buckets, []).extend((high, low, doc, t, s) for t, s in places)
+        for bucket, rows in by.items():
+            yield bucket, b"W" + squeeze.compress(_packed_columns(rows, _WINDOWS))
+
+    def ranges(self) -> list[tuple[int, int, int, int]]:
+        """The covered ranges, with those that touch put together."""
+        out: list[tuple[int, int, int, int]] = []
+        for doc, text, start, end in sorted(self.covered):
+            if out and out[-1][:2] == (doc, text) and start <= out[-1][3]:
+                out[-1] = (doc, text, out[-1][2], max(end, out[-1][3]))
+            else:
+                out.append((doc, text, start, end))
+        return out
 
 
 _RANGES = [("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32), ("end", np.int32)]
 
 
-def _pack_ranges(rows) -> bytes:
-    return struct.pack("<q", len(rows)) + b"".join(np.array([r[j] for r in rows], kind).tobytes() for j, (_, kind) in enumerate(_RANGES))
+_WINDOWS = [("high", np.uint64), ("low", np.uint64), ("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32)]
+
+
+def _packed_columns(rows: list[tuple], fields) -> bytes:
+    return struct.pack("<q", len(rows)) + b"".join(np.array([r[j] for r in rows], kind).tobytes() for j, (_, kind) in enumerate(fields))
 
 
 def _unpack(blob: bytes, fields) -> tuple[dict[str, np.ndarray], bytes]:
@@ -170,9 +208,12 @@ def _unpack(blob: bytes, fields) -> tuple[dict[str, np.ndarray], bytes]:
 
 def _bucket_ranges(blobs: list[bytes], window: int):
     """(doc, text_hash, start, end) arrays of what one bucket finds covered, part by part."""
-    raw = []
+    raw, digests = [], []
     while blobs:
-        raw.append(zstandard.decompress(blobs.pop()))
+        blob = blobs.pop()
+        (raw if blob[:1] == b"S" else digests).append(zstandard.decompress(memoryview(blob)[1:]))
+    if digests:
+        yield _digest_ranges(digests, window)
     for sub in range(SUB):
         parts = []
         for blob in raw:
@@ -209,6 +250,17 @@ def _only(members: np.ndarray, first: np.ndarray, sizes: np.ndarray, keep: np.nd
     return members, np.cumsum(sizes) - sizes, sizes
 
 
+def _digest_ranges(blobs: list[bytes], window: int):
+    tables = [_unpack(b, _WINDOWS)[0] for b in blobs]
+    high, low, doc, text, start = (np.concatenate([t[name] for t in tables]) for name, _ in _WINDOWS)
+    order = np.lexsort((low, high))
+    high, low, doc, text, start = (c[order] for c in (high, low, doc, text, start))
+    first = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
+    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.concatenate([first, [len(doc)]])))
+    over = doc > least
+    return doc[over], text[over], start[over], start[over] + np.int32(window)
+
+
 def _part_ranges(parts: list[bytes], window: int):
     metas, texts, n_strings = [], [], 0
     for part in parts:
@@ -261,22 +313,51 @@ def _part_ranges(parts: list[bytes], window: int):
     return doc[place], text[place], (start[place] + offset).astype(np.int32), (start[place] + offset + length).astype(np.int32)
 
 
-def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def heavy_minimisers(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, heavy_strings: int = HEAVY_STRINGS) -> np.ndarray:
+    """Minimisers with more than ``heavy_strings`` distinct strings, counted batch by batch; fewer than one for every
+    ``heavy_strings`` strings, so the driver gets few."""
+
+    def count(batches):
+        for batch in batches:
+            pairs = [np.zeros((0, 2), np.uint64)]
+            for part in slices([batch], "text", SLICE_BYTES):
+                found = _SuperKmers(part.column("text").to_pylist(), window, mmer, contents=True)
+                pairs.append(np.stack([found.minimiser, found.content], axis=1))
+            all_pairs = np.concatenate(pairs)
+            all_pairs = all_pairs[np.lexsort((all_pairs[:, 1], all_pairs[:, 0]))]
+            new = np.ones(len(all_pairs), bool)
+            new[1:] = (all_pairs[1:] != all_pairs[:-1]).any(axis=1)
+            minimiser, n = np.unique(all_pairs[new, 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(n)], ["minimiser", "n"])
+
+    texts = docs.where("text is not null").select(F.col("text").cast("binary").alias("text"))
+    counts = texts.mapInArrow(count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") > heavy_strings).select("minimiser").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+
+
+def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS) -> DataFrame:
     """(doc, text_hash, start, end): ranges of words covered by windows that a smaller doc_id also has."""
     mmer = min(mmer, window)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Packed strings come to about three times the text, the text to about twice its compressed columns.
     buckets = max(parts, -(-input_bytes(docs) * 6 // bucket_bytes))
+    heavy = heavy_minimisers(docs, window, mmer, heavy_strings)
 
     def pack(batches):
         batch, base = _Batch(), None
         for part in slices(batches, "text", SLICE_BYTES):
             base = part.column("here")[0].as_py() if base is None else base
             ids, hashes = part.column("doc").to_pylist(), part.column("text_hash").to_numpy().view(np.uint64).tolist()
-            texts = part.column("text").to_pylist()
-            for i, start, n, minimiser, packed in _super_kmers(texts, window, mmer):
-                batch.add(ids[i], hashes[i], start, minimiser, packed, n)
+            found = _SuperKmers(part.column("text").to_pylist(), window, mmer)
+            hot = np.isin(found.minimiser, heavy)
+            for i, start, begin, end, minimiser, single in zip(*(c.tolist() for c in (found.text, found.start, found.begin, found.end, found.minimiser, hot))):
+                if not single:
+                    batch.add(ids[i], hashes[i], start, minimiser, found.packed(begin, end), end - begin)
+                    continue
+                for k in range(begin, end - window + 1):
+                    batch.add(ids[i], hashes[i], start + k - begin, -1, xxhash.xxh3_128_digest(found.packed(k, k + window)), window)
             if batch.bytes >= FLUSH_BYTES:
                 yield from flush(batch, base)
                 batch = _Batch()
@@ -286,7 +367,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
     def flush(batch, base):
         rows = list(batch.rows(buckets))
         if batch.covered:
-            rows.append((-1 - base % parts, _pack_ranges(batch.covered)))
+            rows.append((-1 - base % parts, _packed_columns(batch.ranges(), _RANGES)))
         for k in range(0, len(rows), 64):
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[k : k + 64]], pa.int32()), pa.array([r[1] for r in rows[k : k + 64]], pa.binary())], ["bucket", "blob"])
 
@@ -317,7 +398,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
     return dealt.mapInArrow(merge, "doc long, text_hash long, start int, end int")
 
 
-def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, verbatim: bool = False) -> DataFrame:
+def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, verbatim: bool = False) -> DataFrame:
     """The columns of ``docs`` but ``text``, then kept_text, n_words and n_removed.
 
     kept_text is the kept words joined by single spaces; with ``verbatim``, texts that lose no word stay as they
@@ -325,7 +406,7 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucke
     """
     columns = [c for c in docs.columns if c not in ("text", "kept_text", "n_words", "n_removed")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = covered_ranges(docs, window, mmer, bucket_bytes)
+    ranges = covered_ranges(docs, window, mmer, bucket_bytes, heavy_strings)
     row = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("row")
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.lit(1).alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.col("text").cast("binary").alias("bytes"), row)
     kind = base.schema["row"].dataType

@@ -93,9 +93,9 @@ def brute_removed(rows, window):
 
 
 def test_substrings(docs, rows):
-    for window, bucket_bytes in ((50, 40 << 20), (7, 2000)):
+    for window, bucket_bytes, heavy in ((50, 40 << 20, 8192), (7, 2000, 8192), (50, 2000, 0), (7, 2000, 2)):
         words, kept = brute_removed(rows, window)
-        got = superkmer.drop_repeated(docs, window, bucket_bytes=bucket_bytes)
+        got = superkmer.drop_repeated(docs, window, bucket_bytes=bucket_bytes, heavy_strings=heavy)
         want = Counter((r[0], len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for r, w, k in zip(rows, words, kept))
         assert Counter((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) for r in got.collect()) == want
         assert any(len(w) != len(k) for w, k in zip(words, kept))
@@ -115,8 +115,9 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
     texts = {1: b"a b c d e", 2: b"x a b c y", 3: b"a b d c e"}
     batch = [superkmer._Batch() for _ in texts]
     for b, (doc, t) in zip(batch, texts.items()):
-        for i, start, n, minimiser, packed in superkmer._super_kmers([t], 3, 2):
-            b.add(doc, doc, start, minimiser, packed, n)
+        found = superkmer._SuperKmers([t], 3, 2)
+        for start, begin, end in zip(found.start.tolist(), found.begin.tolist(), found.end.tolist()):
+            b.add(doc, doc, start, 0, found.packed(begin, end), end - begin)
     blobs = [blob for b in batch for _, blob in b.rows(1)]
     found = [tuple(x.tolist() for x in part) for part in superkmer._bucket_ranges(blobs, 3)]
     assert found == [([2], [2], [1], [4])]
