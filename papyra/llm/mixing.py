@@ -3,8 +3,8 @@
 A source's share is its weight times a common level; sources above ``max_epochs`` times their size are
 clamped there and the level of the rest is raised, until none is above. Whole epochs repeat every document;
 the fraction left is the run of documents, in a seeded order, whose sizes come nearest to the words
-still to take. The order is by a hash of 60 bits: sums over its first 16 bits find the place where a source's
-run ends, and only documents with those 16 bits, one in 65,536, meet in a window. So a source may hold any
+still to take. The order is by a hash of 60 bits: sums over its first 12 bits find the place where a source's
+run ends, and only documents with those 12 bits, one in 4,096, meet in a window. So a source may hold any
 share of the rows.
 
 Weights cycle over the sources in code-point order, null last. Nulls and empties: a null text has size 0, a
@@ -25,7 +25,7 @@ from papyra.shared import written
 SHARE, WEIGHTS, MAX_EPOCHS, SEED = 1.5, (5, 2, 1), 2.0, "mix-1"
 #: Up to so many sources (rows of three numbers and a name) the table of sources is broadcast; beyond, joined by shuffle.
 BROADCAST_SOURCES = 50_000
-_LOW_BITS = 44
+_LOW_BITS = 48
 
 
 def word_count(text):
