@@ -170,3 +170,21 @@ def routes(index: Index, queries: DataFrame, k: int) -> dict[str, DataFrame]:
 def search_route(mode: str, index: Index, queries: DataFrame, k: int) -> DataFrame:
     """``vector_only``, or hybrid with reranking for any other name."""
     return routes(index, queries, k)["D" if mode == "vector_only" else "A"]
+
+
+def containing(index: Index, docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(qid, id) of the documents (id, body) that contain a query's text (qid, text) as it stands.
+
+    A document that does has every token inside the text, but for the first and last, which may be parts of longer ones
+    there. Documents with the rarest of these tokens are looked up and compared; queries of under three tokens
+    are held against all documents.
+    """
+    asked = queries.where("text is not null and text <> ''").withColumn("toks", tokens(F.col("text")))
+    inner = asked.where(F.size("toks") > 2).select("qid", F.explode(F.slice("toks", F.lit(2), F.size("toks") - 2)).alias("tok")).distinct()
+    known = inner.join(index.terms.select("tok", "df"), "tok", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarest = known.groupBy("qid").agg(F.min_by("tok", F.struct("df", "tok")).alias("tok"))
+    pairs = index.postings.select("tok", "id").join(_sized(rarest), "tok").select("qid", "id")
+    looked_up = docs.join(pairs, "id").join(asked.select("qid", "text"), "qid")
+    few = asked.where(F.size("toks") <= 2).select("qid", "text")
+    held = docs.join(_sized(few), F.contains("body", "text"))
+    return looked_up.where(F.contains("body", "text")).select("qid", "id").unionByName(held.select("qid", "id"))

@@ -73,9 +73,9 @@ def _qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(qid, sources, answerable): a question's sources are the documents that contain it."""
 
     def build():
-        asked, docs = _questions(spark, sf_dir), read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc"), F.col("text").alias("body"))
-        small = F.broadcast(asked) if asked.count() <= retrieve.BROADCAST_QUERY_ROWS else asked
-        found = docs.join(small, F.contains("body", "text")).groupBy("qid").agg(F.sort_array(F.collect_list("doc")).alias("sources"))
+        asked = _questions(spark, sf_dir)
+        docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+        found = retrieve.containing(_index(spark, sf_dir), docs, asked).groupBy("qid").agg(F.sort_array(F.collect_list(F.col("id").cast("string"))).alias("sources"))
         joined = asked.select("qid").join(found, "qid", "left")
         return written(joined.select("qid", F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), F.col("sources").isNotNull().alias("answerable")), "qa")
 

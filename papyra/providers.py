@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 MAX_BATCH, DEFAULT_BATCH, TOP_N = 10, 8, 20
+_TOKEN = r"[a-z0-9]+|[一-鿿]"
 
 
 class Embedder(Protocol):
@@ -63,14 +65,20 @@ class OverlapReranker:
 
 
 class ExtractiveGenerator:
-    """The first line of the first passage, with its citation; the refusal without passages."""
+    """The line of the passages that has most of the question's tokens, the first of equals, with its citation; the refusal
+    without passages."""
 
     def answer(self, messages: list[dict]) -> str:
-        lines = [x for x in messages[-1]["content"].split("\n") if x]
-        heads = [k for k, x in enumerate(lines) if x.startswith("[chunk_")]
-        if not heads or heads[0] + 1 >= len(lines):
-            return "资料中没有相关信息"
-        return f"{lines[heads[0] + 1]} {lines[heads[0]].split(']')[0]}]"
+        passages, _, question = messages[-1]["content"].rpartition("【问题】")
+        want, head, best = set(re.findall(_TOKEN, question.lower())), "", None
+        for line in filter(None, passages.split("\n")):
+            if line.startswith("[chunk_"):
+                head = line.split("]")[0] + "]"
+            elif head:
+                shared = len(want & set(re.findall(_TOKEN, line.lower())))
+                if best is None or shared > best[0]:
+                    best = (shared, f"{line} {head}")
+        return best[1] if best else "资料中没有相关信息"
 
 
 class MechanicalJudge:

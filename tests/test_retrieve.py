@@ -36,6 +36,15 @@ def test_bm25_finds_the_chunk(spark):
     assert again.terms.count() == ix.terms.count() and index.load_or_build(spark, ix.path, None).postings.count() == ix.postings.count()
 
 
+def test_containing(spark):
+    docs = [(1, "say Alpha beta gamma delta now"), (2, "alphabeta gammas"), (3, "xalpha beta gammay"), (4, ""), (5, None), (6, "ab")]
+    table = spark.createDataFrame(docs, "id long, body string")
+    queries = [(10, "lpha beta gamma"), (11, "b"), (12, "beta gamma delta"), (13, None), (14, ""), (15, "Alpha zeta beta gamma"), (16, "--")]
+    ix = index.build(table.selectExpr("id", "body as text"))
+    got = {tuple(r) for r in retrieve.containing(ix, table, spark.createDataFrame(queries, "qid long, text string")).collect()}
+    assert got == {(q, i) for q, t in queries for i, d in docs if t and d and t in d}
+
+
 def test_empty_corpus_is_an_error(spark):
     with pytest.raises(RuntimeError, match="empty"):
         index.build(spark.createDataFrame([], "id string, text string"))
