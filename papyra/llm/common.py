@@ -57,3 +57,9 @@ def keep_rows(df: DataFrame, judge: Callable[[list[bytes | None]], list[bool]],
             yield part.filter(pa.array(judge(part.column("text").cast(pa.binary()).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def deal(df: DataFrame, parts: int, number: str) -> DataFrame:
+    """``df`` dealt to ``parts`` partitions by a column of whole numbers, n to partition n modulo ``parts``: neighbouring
+    numbers never fall together by chance, as they may by hash."""
+    return df.repartitionById(parts, F.pmod(F.col(number).cast("long"), F.lit(parts)).cast("int"))

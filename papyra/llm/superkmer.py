@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import slices
+from papyra.llm.common import deal, slices
 from papyra.shared import input_bytes
 
 WINDOW, MMER = 50, 5
@@ -394,7 +394,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
 
     texts = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"), F.spark_partition_id().alias("here"))
     packed = texts.mapInArrow(pack, "bucket int, blob binary")
-    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    dealt = deal(packed, parts, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(merge, "doc long, text_hash long, start int, end int")
 
 
