@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import filesystem, slices
+from papyra.llm.common import deal, filesystem, slices
 from papyra.shared import input_bytes, shared_path, written
 
 MIN_COUNT, SLICE_BYTES, BUCKET_GRAMS, HEAVY_SHARE = 2, 6 << 20, 2_000_000, 8
@@ -273,7 +273,7 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
         keep = n >= min_count
         file = _save(uri, f"grams-{bucket}", [key[keep], n[keep].astype(np.uint32)])
         figures = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-        rows = [(-1, 0, json.dumps([bucket, file, int(keep.sum()), *figures, 0, 0, 0]).encode())]
+        rows = [(-1 - bucket, 0, json.dumps([bucket, file, int(keep.sum()), *figures, 0, 0, 0]).encode())]
         ones = np.ones(len(n), np.int64)
         k2, (cnt, bef) = _sums(w, [n, ones])
         k1, (tot, s1, s2, s3) = _sums(c, [n, n == 1, n == 2, n > 2])
@@ -315,9 +315,9 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
         return pa.RecordBatch.from_arrays([pa.array([v], pa.string() if k == "file" else pa.int32() if k in ("kind", "bucket") else pa.int64()) for k, v in zip(names, values)], names)
 
     schema = "bucket int, kind int, blob binary"
-    counted = texts.mapInArrow(count, schema).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    counted = deal(texts.mapInArrow(count, schema), parts, "bucket").sortWithinPartitions("bucket")
     added = counted.mapInArrow(add, schema)
-    dealt = added.repartition(parts, F.when(F.col("bucket") < 0, F.xxhash64("blob")).otherwise(F.col("bucket").cast("long"))).sortWithinPartitions("bucket")
+    dealt = deal(added, parts, "bucket").sortWithinPartitions("bucket")
     rows = written(dealt.mapInArrow(gather, "kind int, bucket int, file string, n long, n1 long, n2 long, n3 long, n4 long, tokens long, types long, before long"), "lm-manifest")
     return Model(uri, buckets, heavy, [r.asDict() for r in rows.collect()], min_count)
 
