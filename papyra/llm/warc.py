@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm.common import filesystem, slices
+from papyra.llm.common import deal, filesystem, slices
 from papyra.operators.ranks import global_row_number
 from papyra.shared import shared_path, written
 
 ROLL_BYTES, SHARD_PAYLOAD, MIN_REVISIT, LEVEL = 64 << 20, 64 << 20, 0, 5
+MAX_SHARDS = 20_000  # their first keys go to every task
 DATE = "1970-01-01T00:00:00Z"
 _FILE = "file string, tmp string, records long, bytes long, sha256 string, shard long"
 
@@ -111,7 +112,7 @@ def write_archives(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, sha
     ranked = global_row_number(narrow, [F.asc_nulls_first("page_id"), F.asc("sha1"), F.asc_nulls_first("url")], "rank")
     ranked = written(ranked, "warc-ranks")
     totals = ranked.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
-    each = max(1, int(totals["n"] * shard_payload / max(totals["bytes"] or 0, 1)))
+    each = max(1, int(totals["n"] * shard_payload / max(totals["bytes"] or 0, 1)), -(-totals["n"] // MAX_SHARDS))
     # One key for each shard: as many as shards, not as rows.
     heads = ranked.where(F.pmod(F.col("rank") - 1, F.lit(each)) == 0).orderBy("rank").select("page_id", "sha1").collect()
     starts = [(r["page_id"] is not None, r["page_id"] or 0, r["sha1"]) for r in heads]
@@ -132,7 +133,7 @@ def write_archives(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, sha
     spark = pages.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.mapInArrow(place, "page_id long, url string, html binary, sha1 string, first long, kind int, shard long")
-    dealt = placed.repartition(max(parts, len(starts)), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "sha1", "kind", F.asc_nulls_first("url"))
+    dealt = deal(placed, max(parts, len(starts)), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "sha1", "kind", F.asc_nulls_first("url"))
 
     def write(batches):
         files, at, first, copy = None, None, None, 0
