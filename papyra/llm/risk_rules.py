@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from papyra.llm.common import WORD
 
 RISK, DELTA, HOLDOUT_ROWS = 0.02, 0.05, 40_000
+SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Cutoffs by rule; a value above the cutoff is rejected (for mean_chars_low: its negative).
 GRID = {
@@ -63,10 +64,12 @@ def _repeat_words(hashes: Column) -> Column:
 def features(docs: DataFrame, *keep: Column) -> DataFrame:
     """n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words (long) of whole texts, after the columns ``keep``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    bare = F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))
-    symbols = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
-    lines = _let(F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0), lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    words = _let(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)), lambda h: F.struct(F.size(h).alias("n"), _repeat_words(h).alias("repeat")))
+    bare = F.length(F.regexp_replace(text, SPACES, ""))
+    symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))
+    lines = _let(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD)), lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
+    inner = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    split = F.when(F.length(inner) > 0, F.split(inner, SPACES)).otherwise(F.array().cast("array<string>"))
+    words = _let(F.transform(split, lambda w: F.xxhash64(w)), lambda h: F.struct(F.size(h).alias("n"), _repeat_words(h).alias("repeat")))
     rows = docs.select(*keep, bare.cast("long").alias("word_chars"), symbols.cast("long").alias("n_symbols"), lines.alias("_lines"), words.alias("_words"))
     kept = [c for c in rows.columns if c not in ("_lines", "_words")]
     return rows.select(*kept, *[F.col(f"_{a}.{b}").cast("long").alias(c) for a, b, c in (("lines", "n", "n_lines"), ("lines", "dup", "n_dup_lines"), ("words", "n", "n_words"), ("words", "repeat", "n_repeat_words"))])
