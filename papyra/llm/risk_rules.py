@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyra.llm.common import WORD
+from papyra.shared import written
 
 RISK, DELTA, HOLDOUT_ROWS = 0.02, 0.05, 40_000
 SPACES = r"[\x20\x09-\x0D]+"
@@ -111,7 +112,8 @@ def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
     stratum = F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum")
     # At most holdout_rows pairs of numbers are broadcast.
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(chosen), "doc_id")
-    rated = features(known, stratum, F.col("quality")).where(~base_failed())
+    # Written, so that the features of these rows are computed once.
+    rated = written(features(known, stratum, F.col("quality")), "rules-holdout").where(~base_failed())
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value"), F.array(*[F.lit(float(c)) for c in GRID[r]]).alias("grid")) for r, v in rule_values().items()])
     tried = rated.select("stratum", "quality", F.explode(rules).alias("r")).select("stratum", "quality", "r.rule", "r.value", F.explode("r.grid").alias("cutoff"))
     good, over = F.col("quality") == 1, F.col("value") > F.col("cutoff")
