@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from papyra.llm import decontam, knlm, puquality, toxicity
 from papyra.llm.common import fold
@@ -74,7 +75,9 @@ def distance(pattern, text):
     return min(row)
 
 
-def test_decontamination_against_edit_distance(spark):
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 60])
+def test_decontamination_against_edit_distance(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block_bytes)
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6)))
     items = [(i, " ".join(word() for _ in range(rng.randint(3, 25)))) for i in range(12)] + [(50, None), (51, ""), (52, "ab"), (None, "the item without any number at all")]
