@@ -6,6 +6,8 @@ folder is used. Lineage is cut with reliable checkpoints or with tables written
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,12 +22,20 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
     if not root:
-        root = _local.setdefault(sc.applicationId, "file://" + tempfile.mkdtemp(prefix="papyra-"))
+        root = _local.get(sc.applicationId) or _temporary(sc.applicationId)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _temporary(application: str) -> str:
+    """A folder for this process alone, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="papyra-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    _local[application] = "file://" + folder
+    return _local[application]
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
