@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyra.functions.text import let, sentences, strip
-from papyra.operators.ranks import global_row_number
+from papyra.operators.ranks import global_row_number, prefix_sums
+from papyra.shared import written
 
 CHUNK_SIZE, MIN_CHUNK, OVERLAP_RATIO = 300, 100, 0.15
+BROADCAST_DOCUMENTS = 200_000
 
 _GROUP = "struct<parts: array<string>, idx: array<int>, chars: int>"
 
@@ -32,13 +34,13 @@ def assign_sections(blocks: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc").orderBy("block_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     heading = F.col("kind") == "heading"
     numbered = blocks.withColumn("section", F.sum(heading.cast("int")).over(order))
-    heads = numbered.where(heading).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("section", F.coalesce("level", F.lit(1)).alias("level"), "text"))).alias("heads"))
+    heads = F.sort_array(F.collect_list(F.when(heading, F.struct("block_idx", F.coalesce("level", F.lit(1)).alias("level"), "text"))))
     none = F.array().cast("array<string>")
     above = lambda all_: F.when(F.size(all_) > 0, F.element_at(all_, -1)).otherwise(none)
     step = lambda all_, h: F.concat(all_, F.array(F.concat(F.slice(above(all_), F.lit(1), F.greatest(h["level"], F.lit(1)) - 1), F.array(h["text"]))))
-    paths = heads.select("doc", F.posexplode(F.aggregate("heads", F.array().cast("array<array<string>>"), step)).alias("p", "section_path"))
-    paths = paths.select("doc", (F.col("p") + 1).cast("long").alias("section"), "section_path")
-    return numbered.join(paths, ["doc", "section"], "left").withColumn("section_path", F.coalesce("section_path", F.array().cast("array<string>")))
+    paths = blocks.groupBy("doc").agg(heads.alias("heads")).select("doc", F.aggregate("heads", F.array().cast("array<array<string>>"), step).alias("paths"))
+    path = F.when(F.col("section") > 0, F.get("paths", (F.col("section") - 1).cast("int"))).otherwise(none)
+    return numbered.join(paths, "doc").withColumn("section_path", path).drop("paths")
 
 
 def split_long(text: Column, chunk_size: int) -> Column:
@@ -120,7 +122,9 @@ def table_text(rows: Column) -> Column:
 def chunk_blocks(blocks: DataFrame, chunk_size: int = CHUNK_SIZE, min_chunk: int = MIN_CHUNK, overlap_ratio: float = OVERLAP_RATIO, ids: bool = True) -> DataFrame:
     """Chunks of all documents, with dense ids in order of document and place (``seq`` is the place within the document)."""
     least = overlap_chars(chunk_size, overlap_ratio)
-    rest = assign_sections(blocks).where(F.col("kind") != "heading")
+    # One shuffle, by document: the windows and groups below all lie within a document.
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = assign_sections(blocks.repartition(parts, "doc")).where(F.col("kind") != "heading")
     order = Window.partitionBy("doc", "section").orderBy("block_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     table = F.col("kind") == "table"
     # Every table is a run of its own; paragraphs between two tables are one run.
@@ -144,8 +148,12 @@ def chunk_blocks(blocks: DataFrame, chunk_size: int = CHUNK_SIZE, min_chunk: int
     chunks = merge_tails(chunks, min_chunk)
     if not ids:
         return chunks
-    numbered = global_row_number(chunks, ["doc", "section", "run", "piece"], "n")
-    return numbered.select(F.format_string("chunk_%06d", "n").alias("id"), "doc", "section_path", "text", "rows", "start_page", "end_page", F.col("n").alias("seq"))
+    placed = written(chunks.withColumn("place", F.row_number().over(Window.partitionBy("doc").orderBy("section", "run", "piece"))), "chunks")
+    counts = written(global_row_number(placed.groupBy("doc").agg(F.count("*").alias("n")), ["doc"], "nth"), "chunk-counts")
+    offsets = prefix_sums(counts, "nth", "n", "offset").select("doc", "offset")
+    offsets = F.broadcast(offsets) if counts.count() <= BROADCAST_DOCUMENTS else offsets
+    seq = (F.col("offset") + F.col("place")).cast("long")
+    return placed.join(offsets, "doc").select(F.format_string("chunk_%06d", seq).alias("id"), "doc", "section_path", "text", "rows", "start_page", "end_page", seq.alias("seq"))
 
 
 def merge_tails(chunks: DataFrame, min_chunk: int = MIN_CHUNK) -> DataFrame:

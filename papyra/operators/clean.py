@@ -18,11 +18,14 @@ def clean_rows(rows: Column) -> Column:
 
 def clean_blocks(blocks: DataFrame) -> DataFrame:
     """Headings and paragraphs normalised, empty and noise blocks dropped; tables by their cells; other kinds dropped."""
-    words = F.col("kind").isin("heading", "para")
+    words, table = F.col("kind").isin("heading", "para"), F.col("kind") == "table"
     text = F.when(words, normalise_space(F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
-    rows = F.when(F.col("kind") == "table", clean_rows(F.col("rows"))).otherwise(F.col("rows"))
-    cleaned = blocks.withColumns({"text": text, "rows": rows})
-    return cleaned.where((words & (F.col("text") != "") & ~is_noise(F.col("text"))) | ((F.col("kind") == "table") & (F.size("rows") > 0)))
+    rows = F.when(table, clean_rows(F.col("rows"))).otherwise(F.col("rows"))
+    one = F.array(F.struct(text.alias("text"), rows.alias("rows")))
+    keep = lambda c: (words & (c["text"] != "") & ~is_noise(c["text"])) | (table & (F.size(c["rows"]) > 0))
+    # An exploded array of one or none: a filter would be pushed down and compute the text once for each mention.
+    made = blocks.withColumn("_cleaned", F.explode(F.filter(one, keep)))
+    return made.select(*[F.col(f"_cleaned.{c}").alias(c) if c in ("text", "rows") else F.col(c) for c in blocks.columns])
 
 
 def truncate_tail(blocks: DataFrame, marker: str = TAIL_MARKER) -> DataFrame:

@@ -49,7 +49,8 @@ def build(corpus: DataFrame, path: str | None = None) -> Index:
         raise RuntimeError("the corpus is empty: extract, clean and chunk documents before building an index")
     token_table(corpus).write.mode("overwrite").parquet(f"{path}/tokens")
     toks = spark.read.parquet(f"{path}/tokens")
-    postings_of(toks).repartition("tok").sortWithinPartitions("tok").write.mode("overwrite").parquet(f"{path}/postings")
+    # Dealt by token and document, so a common token is spread; sorted, so row groups of other tokens are skipped.
+    postings_of(toks).sortWithinPartitions("tok").write.mode("overwrite").parquet(f"{path}/postings")
     toks.select("id", F.size("toks").cast("long").alias("dl")).write.mode("overwrite").parquet(f"{path}/lengths")
     postings, lengths = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "lengths"))
     terms_of(postings, lengths.agg(F.count("*").alias("n"))).write.mode("overwrite").parquet(f"{path}/terms")

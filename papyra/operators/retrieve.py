@@ -40,8 +40,8 @@ def _sized(df: DataFrame) -> DataFrame:
 def bm25(index: Index, queries: DataFrame) -> DataFrame:
     """(qid, id, score) of every document with a query token; repeated query tokens count again."""
     average = F.broadcast(index.lengths.agg(F.avg("dl").alias("avgdl")))
-    matched = index.postings.join(_sized(query_tokens(queries)), "tok").join(index.terms.select("tok", "idf"), "tok")
-    matched = matched.join(index.lengths, "id").crossJoin(average)
+    wanted = query_tokens(queries).join(index.terms.select("tok", "idf"), "tok")
+    matched = index.postings.join(_sized(wanted), "tok").join(index.lengths, "id").crossJoin(average)
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     return matched.groupBy("qid", "id").agg(F.round(F.sum(F.col("qtf") * weight), 6).alias("score"))
 

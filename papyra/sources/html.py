@@ -22,11 +22,11 @@ def html_blocks(pages: DataFrame) -> DataFrame:
     body = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>", " ")
     body = F.regexp_replace(F.regexp_replace(body, r"(?s)<!--.*?-->", " "), r"(?i)<br\b[^>]*>", " ")
     marked = F.regexp_replace(body, rf"(?i)<(/?)({TAGS})\b[^>]*>", "\x01$1$2\x02")
-    pieces = pages.select(F.col("page_id").cast("string").alias("doc"), F.posexplode(F.split(marked, "\x01")).alias("block_idx", "piece"))
-    tag = F.when(F.contains("piece", F.lit("\x02")), F.lower(F.substring_index("piece", "\x02", 1))).otherwise(F.lit(""))
-    cut = pieces.select("doc", "block_idx", tag.alias("tag"), plain(F.substring_index("piece", "\x02", -1)).alias("text")).where("text <> ''")
-    heading = F.col("tag").rlike("^h[1-6]$")
-    return cut.select(
-        "doc", "block_idx", F.when(heading, "heading").otherwise("para").alias("kind"), "text",
-        F.when(heading, F.substring("tag", 2, 1).cast("int")).otherwise(F.lit(1)).alias("level"), F.array().cast("array<array<string>>").alias("rows"), F.lit(1).alias("page"),
+    tag = lambda p: F.when(F.contains(p, F.lit("\x02")), F.lower(F.substring_index(p, "\x02", 1))).otherwise(F.lit(""))
+    cut = F.transform(F.split(marked, "\x01"), lambda p, i: F.struct(i.alias("block_idx"), tag(p).alias("tag"), plain(F.substring_index(p, "\x02", -1)).alias("text")))
+    pieces = pages.select(F.col("page_id").cast("string").alias("doc"), F.explode(F.filter(cut, lambda p: p["text"] != "")).alias("p"))
+    heading = F.col("p.tag").rlike("^h[1-6]$")
+    return pieces.select(
+        "doc", "p.block_idx", F.when(heading, "heading").otherwise("para").alias("kind"), "p.text",
+        F.when(heading, F.substring("p.tag", 2, 1).cast("int")).otherwise(F.lit(1)).alias("level"), F.array().cast("array<array<string>>").alias("rows"), F.lit(1).alias("page"),
     )

@@ -4,7 +4,7 @@ import pytest
 
 from papyra import schemas
 from papyra.operators.graph import connected_components
-from papyra.operators.ranks import global_row_number
+from papyra.operators.ranks import global_row_number, prefix_sums
 from papyra.sources import html, io
 from papyra.streaming.ingest import ingest_pages
 
@@ -74,6 +74,12 @@ def test_row_numbers(spark):
     assert global_row_number(df.limit(0), ["x"]).count() == 0
 
 
+def test_prefix_sums(spark):
+    df = spark.range(1, 501).selectExpr("id as place", "id % 7 as v")
+    got = {r["place"]: r["before"] for r in prefix_sums(df, "place", "v", "before", block=16).collect()}
+    assert got == {i: sum(k % 7 for k in range(1, i)) for i in range(1, 501)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (200, 102), (102, 101), (None, 3)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
