@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from papyra.functions import text as T
 from papyra.operators import calibrate, chunk, clean, evaluate, generate, index, layout, retrieve
-from papyra.shared import shared_path, written
+from papyra.shared import shared_path, ship, written
 from papyra.sources import html, io
 
 TOP_K = 5
@@ -34,6 +34,7 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

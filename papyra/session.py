@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from papyra.shared import ship
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,4 +18,6 @@ def session(app: str = "papyra", **more: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for k, v in {**SETTINGS, **more}.items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark

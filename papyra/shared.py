@@ -10,16 +10,34 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for an application; they need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    package, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="papyra-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/papyra_code.zip", "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    sc.addPyFile(f"{folder}/papyra_code.zip")
 
 
 def shared_root(spark: SparkSession) -> str:
     """URI of the shared folder of this session."""
     sc = spark.sparkContext
+    ship(spark)
     root = sc.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
     if not root:
         root = _local.get(sc.applicationId) or _temporary(sc.applicationId)
