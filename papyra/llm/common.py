@@ -9,11 +9,14 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.shared import ship
+
 #: A word: a run of anything but space and the characters 9 to 13. bytes.split() splits the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
