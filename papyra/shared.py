@@ -7,6 +7,7 @@ folder is used. Lineage is cut with reliable checkpoints or with tables written
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -26,7 +27,7 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)
-    package, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="papyra-code-")
+    package, folder = Path(__file__).parent, os.path.realpath(tempfile.mkdtemp(prefix="papyra-code-"))
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     with zipfile.ZipFile(f"{folder}/papyra_code.zip", "w") as z:
         for file in sorted(package.rglob("*.py")):
@@ -48,7 +49,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def _temporary(application: str) -> str:
     """A folder for this process alone, removed at its end."""
-    folder = tempfile.mkdtemp(prefix="papyra-")
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="papyra-"))
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     _local[application] = "file://" + folder
     return _local[application]
