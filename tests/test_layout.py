@@ -16,7 +16,7 @@ def test_glyphs_are_joined():
 
 
 def test_what_is_not_joined():
-    marks = [line("《晶核》", 100, 100, 150, 112, 10.38), line("《晶核》", 120, 100, 170, 112, 10.38)]
+    marks = [line("《公告》", 100, 100, 150, 112, 10.38), line("《公告》", 120, 100, 170, 112, 10.38)]
     assert len(join_glyphs(marks, 9.08)) == 2
     many = [line("测试", 20.0 * i, 100, 20.0 * i + 10, 112) for i in range(11)]
     assert len(join_glyphs(many, 9.08)) == 11

@@ -10,7 +10,7 @@ def one(spark, column, value):
 
 @pytest.mark.parametrize(
     ("given", "want"),
-    [("2026 年 4 月 15 日", "2026年 4月 15日"), ("晶珀*100 ，将通过", "晶珀*100，将通过"), ("  多  空格  ", "多 空格"), ("a<!-- x\ny -->b", "a b"), ("a　b", "a b"), ("甲 ， 乙", "甲，乙"), ("", "")],
+    [("2026 年 4 月 15 日", "2026年 4月 15日"), ("金币*100 ，将通过", "金币*100，将通过"), ("  多  空格  ", "多 空格"), ("a<!-- x\ny -->b", "a b"), ("a　b", "a b"), ("甲 ， 乙", "甲，乙"), ("", "")],
 )
 def test_normalise_space(spark, given, want):
     assert one(spark, T.normalise_space, given) == want
@@ -18,7 +18,7 @@ def test_normalise_space(spark, given, want):
 
 @pytest.mark.parametrize(
     ("given", "want"),
-    [("2026年4月13日 18:32上海晶核CoA听全文", True), ("第 3 页 / 共 20 页", True), ("45", True), ("见第3页的说明", True), ("测试时间：2026年6月17日11:00至7月6日06:00", False), ("正文", False), ("2026年4月13日 18:32" + "长" * 30 + "听全文", False)],
+    [("2026年4月13日 18:32上海某某站听全文", True), ("第 3 页 / 共 20 页", True), ("45", True), ("见第3页的说明", True), ("测试时间：2026年6月17日11:00至7月6日06:00", False), ("正文", False), ("2026年4月13日 18:32" + "长" * 30 + "听全文", False)],
 )
 def test_noise(spark, given, want):
     assert one(spark, T.is_noise, given) is want
