@@ -7,8 +7,8 @@ number of good documents it would reject is binomial; a cutoff is admitted only
 1 - ``DELTA`` over all strata, rules and cutoffs together (Bonferroni). As all bounds hold at once, any
 admitted cutoff may be chosen: that with the largest difference between the rejected shares of bad and of
 good documents, if it is positive; of equal ones the loosest. A stratum without enough good documents
-admits nothing and loses nothing. The thresholds are fitted on ``HOLDOUT_ROWS`` labelled rows at most,
-those with the least md5 of the id; counts per document are always of the whole text.
+admits nothing and loses nothing. The thresholds are fitted on all labelled rows: features are written once
+for all documents, and only numbers are shuffled to the labels. Counts per document are always of the whole text.
 
 Repeated windows are found by 64-bit hashes of five word hashes.
 
@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 from papyra.llm.common import WORD
 from papyra.shared import written
 
-RISK, DELTA, HOLDOUT_ROWS = 0.02, 0.05, 40_000
+RISK, DELTA = 0.02, 0.05
+#: Labelled rows that the SQL form takes; the operator takes all.
+HOLDOUT_ROWS = 40_000
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
-#: Cutoffs by rule; a value above the cutoff is rejected (for mean_chars_low: its negative).
+#: Cutoffs by rule, in order; a value above the cutoff is rejected (for mean_chars_low: its negative).
 GRID = {
     "symbols_per_word": [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.75, 1.0, 1.5, 2.0],
     "dup_lines_per_line": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9],
@@ -105,19 +107,28 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>")), start, step, lambda acc: acc["sum"])
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, holdout_rows: int = HOLDOUT_ROWS) -> DataFrame:
+def rated(docs: DataFrame) -> DataFrame:
+    """(doc_id, stratum, features) of all documents."""
+    return features(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum"))
+
+
+def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(stratum, cutoffs): one row per stratum with a cutoff, cutoffs a map from rule to cutoff."""
+    return fitted(rated(docs), labels, risk, delta)
+
+
+def fitted(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """``thresholds`` from ``rated`` rows."""
     agreed = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("low"), F.max("quality").alias("quality")).where("low = quality")
-    chosen = agreed.select("doc_id", "quality").orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(holdout_rows)
-    stratum = F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum")
-    # At most holdout_rows pairs of numbers are broadcast.
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(chosen), "doc_id")
-    # Written, so that the features of these rows are computed once.
-    rated = written(features(known, stratum, F.col("quality")), "rules-holdout").where(~base_failed())
-    rules = F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value"), F.array(*[F.lit(float(c)) for c in GRID[r]]).alias("grid")) for r, v in rule_values().items()])
-    tried = rated.select("stratum", "quality", F.explode(rules).alias("r")).select("stratum", "quality", "r.rule", "r.value", F.explode("r.grid").alias("cutoff"))
-    good, over = F.col("quality") == 1, F.col("value") > F.col("cutoff")
-    counts = tried.groupBy("stratum", "rule", "cutoff").agg(F.count_if(good).alias("good"), F.count_if(good & over).alias("false_rejected"), F.count_if(~good).alias("bad"), F.count_if(~good & over).alias("rejected"))
+    known = rows.where(~base_failed()).join(agreed.select("doc_id", "quality"), "doc_id")
+    # How many cutoffs of its grid a value is above: rows are counted by that before the cutoffs are told apart.
+    rules = F.array(*[F.struct(F.lit(r).alias("rule"), sum(((v > F.lit(float(c))).cast("int") for c in GRID[r]), F.lit(0)).alias("above")) for r, v in rule_values().items()])
+    good, n = F.col("quality") == 1, F.col("n")
+    placed = known.select("stratum", "quality", F.explode(rules).alias("r")).groupBy("stratum", "r.rule", "r.above").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    grid = F.create_map(*[x for r, cs in GRID.items() for x in (F.lit(r), F.array(*[F.lit(float(c)) for c in cs]))])
+    tried = placed.select("*", F.posexplode(grid[F.col("rule")]).alias("n", "cutoff"))
+    over = F.col("above") > n
+    counts = tried.groupBy("stratum", "rule", "cutoff").agg(F.sum("good").alias("good"), F.sum(F.when(over, F.col("good")).otherwise(0)).alias("false_rejected"), F.sum("bad").alias("bad"), F.sum(F.when(over, F.col("bad")).otherwise(0)).alias("rejected"))
     share = risk / len(GRID)
     tests = sum(map(len, GRID.values()))
     strata = F.broadcast(counts.agg(F.count_distinct("stratum").alias("strata")))
@@ -130,9 +141,8 @@ def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
 
 def judge(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """(doc_id, features, base_failed, failed_rules, kept): one row per document."""
-    cutoffs = F.broadcast(thresholds(docs, labels, **how))  # at most one row for each stratum among the labelled rows
-    stratum = F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum")
-    rows = features(docs, F.col("doc_id").cast("long").alias("doc_id"), stratum).join(cutoffs, "stratum", "left")
+    rows = written(rated(docs), "rules-features")  # numbers, computed once for the thresholds and for the result
+    cutoffs = F.broadcast(fitted(rows, labels, **how))  # at most one row for each stratum among the labelled rows
     failed = F.filter(F.array(*[F.when(v > F.col("cutoffs")[r], F.lit(r)) for r, v in rule_values().items()]), lambda r: r.isNotNull())
-    rows = rows.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
+    rows = rows.join(cutoffs, "stratum", "left").withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("cutoffs", "stratum")
