@@ -8,8 +8,9 @@ for each word and writes sorted hash arrays too. Discounts come from the counts
 
 A bigram's bucket is that of its context, so a context's figures mostly arrive in one piece; contexts with
 more than a fraction of a bucket's share of all tokens (found by a pass over all tokens, at most 8 for
-each bucket) are dealt by the whole bigram. Bigrams under ``min_count`` are counted in every figure but not
-stored: their mass goes to the back-off weight of their context, so each distribution still sums to one.
+each bucket) are dealt by the whole bigram. With ``min_count`` 1, as the query has it, every bigram is stored
+and has its own discount. Above that, bigrams under ``min_count`` are counted in every figure but not stored:
+their mass goes to the back-off weight of their context, so each distribution still sums to one.
 
 Scoring: workers map the files and search them for the distinct words and bigrams of a slice.
 The order is two: see the README for the figures.

@@ -23,7 +23,7 @@ def op7_superkmer_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
 def op8_kneser_ney_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 7) == 2
-    model = knlm.fit(docs.where(~held_out))
+    model = knlm.fit(docs.where(~held_out), min_count=1)  # every bigram is stored
     return knlm.score(docs, model).withColumn("held_out", held_out)
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from papyra.llm import decontam, knlm, puquality, toxicity
 from papyra.llm.common import fold
+from papyra.llm.queries import op8_kneser_ney_lm_scoring
 from pyspark.sql import functions as F
 
 
@@ -65,6 +66,29 @@ def test_language_model(docs, rows, none):
     assert all(r["score"] == 0 and r["train_tokens"] == 0 for r in empty)
 
 
+def test_query_scores_bigrams_seen_once(docs, rows, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    toks = lambda t: ["START", *(t or "").encode().lower().split(), "END"]
+    pairs = Counter(p for r in rows if not held(r[0], 7, 2) for p in zip(toks(r[1]), toks(r[1])[1:]))
+    before = Counter(w for _, w in pairs)
+    discounts = lambda values: [0, *knlm._discounts([list(values).count(k) for k in (1, 2, 3, 4)])]
+    dg, dw = discounts(pairs.values()), discounts(before.values())
+    rest = sum(dw[min(x, 3)] for x in before.values()) / len(pairs)
+    total, free = Counter(), Counter()
+    for (a, _), c in pairs.items():
+        total[a] += c
+        free[a] += dg[min(c, 3)]
+
+    def p(a, w):
+        low = (before[w] - dw[min(before[w], 3)]) / len(pairs) + rest / (len(before) + 1)
+        return (pairs[a, w] - dg[min(pairs[a, w], 3)] + free[a] * low) / total[a] if total[a] else low
+
+    assert dg[1] < 1 and math.isclose(sum(p(b"wort", w) for w in before) + p(b"wort", b"\0"), 1)
+    want = {(r[0], len(toks(r[1])) - 1): sum(math.log10(p(a, w)) for a, w in zip(toks(r[1]), toks(r[1])[1:])) for r in rows}
+    got = op8_kneser_ney_lm_scoring(docs.sparkSession, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(math.isclose(r["score"], want[r["doc_id"], r["n_tokens"]], rel_tol=1e-9) for r in got)
+
+
 def distance(pattern, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
