@@ -126,12 +126,12 @@ def dimension(embedder: Embedder) -> int:
 
 def rerank_table(candidates: DataFrame, reranker: Reranker, k: int) -> DataFrame:
     """(qid, id, score, rank) from (qid, question, rank, id, text): the candidates of a query go to the model together, best
-    first; indexes outside the candidates are left out after the cut to ``k``."""
+    first; of the results the best ``TOP_N`` and then ``k`` are taken, and indexes outside the candidates left out after that."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank").reset_index(drop=True)
-        found = reranker.scores(pdf["question"].iloc[0], pdf["text"].head(TOP_N).tolist())
-        best = [(i, s) for i, s in sorted(found, key=lambda x: -x[1])[:k] if 0 <= i < len(pdf)]
+        found = reranker.scores(pdf["question"].iloc[0], pdf["text"].tolist())
+        best = [(i, s) for i, s in sorted(found, key=lambda x: -x[1])[:TOP_N][:k] if 0 <= i < len(pdf)]
         return pd.DataFrame({"qid": pdf["qid"].iloc[0], "id": [pdf["id"][i] for i, _ in best], "score": [float(s) for _, s in best], "rank": range(1, len(best) + 1)})
 
     s = candidates.schema

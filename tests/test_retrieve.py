@@ -123,6 +123,16 @@ def test_rerank_provider(spark):
     assert rerank_table(c, OverlapReranker(), 5).count() == 3 and rerank_table(c.limit(0), OverlapReranker(), 5).count() == 0
 
 
+def test_rerank_provider_sees_all_candidates(spark):
+    class Last:
+        def scores(self, query, documents):
+            return [(i, float(i)) for i in range(len(documents))]
+
+    c = spark.createDataFrame([("q", "?", i + 1, f"c{i}", f"text {i}") for i in range(26)], "qid string, question string, rank int, id string, text string")
+    assert [r["id"] for r in rerank_table(c, Last(), 3).orderBy("rank").collect()] == ["c25", "c24", "c23"]
+    assert rerank_table(c, Last(), 25).count() == 20
+
+
 def test_embedding_provider(spark):
     rows = spark.createDataFrame([(i, f"text {i}") for i in range(21)] + [(99, None)], "id long, text string")
     out = {r["id"]: r["embedding"] for r in embed_table(rows, HashEmbedder(16)).collect()}
