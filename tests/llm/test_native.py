@@ -86,13 +86,13 @@ def test_rules(spark):
 
 
 def test_thresholds_use_every_label(spark):
-    """A language with 2,300 good documents of 46,300 labelled ones: a bound of 40,000 rows left it under the 2,115 that a cutoff needs."""
-    bad = F.col("doc_id").between(2_300, 2_399)
-    ids = spark.range(46_300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2_400, "es").otherwise("en").alias("lang"))
+    """A language with 2,100 good documents of 46,300 labelled ones: a bound of 40,000 rows left it under the 1,942 that a cutoff needs with two languages."""
+    bad = F.col("doc_id").between(2_100, 2_199)
+    ids = spark.range(46_300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2_200, "es").otherwise("en").alias("lang"))
     docs = ids.withColumn("text", F.when(bad, F.lit("w% b$ c# d& e% f* g| h> i< j#")).otherwise(F.lit("alpha beta gamma delta eps zeta eta theta iota kappa")))
     labels = ids.select("doc_id", F.when(bad, 0).otherwise(1).alias("quality"))
-    least = ids.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary"))).limit(risk_rules.HOLDOUT_ROWS).where("doc_id < 2300").count()
-    assert least < 2_115
+    least = ids.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary"))).limit(risk_rules.HOLDOUT_ROWS).where("doc_id < 2100").count()
+    assert least < 1_942
     chosen = {r["stratum"]: r["cutoffs"] for r in risk_rules.thresholds(docs, labels).collect()}
     assert chosen["es"] == {"symbols_per_word": 0.75, "mean_chars_low": -2.25}
     assert risk_rules.judge(docs, labels).where("kept").count() == 46_200
