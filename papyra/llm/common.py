@@ -25,7 +25,9 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)), F.lit(-1).cast("long"))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with this package's code on the workers; what is to be sent is settled when the plan is made."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
@@ -59,7 +61,7 @@ def keep_rows(df: DataFrame, judge: Callable[[list[bytes | None]], list[bool]],
         for part in slices(batches, "text", most):
             yield part.filter(pa.array(judge(part.column("text").cast(pa.binary()).to_pylist()), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return arrow_map(df, run, df.schema)
 
 
 def deal(df: DataFrame, parts: int, number: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import filesystem, keep_rows, slices
+from papyra.llm.common import arrow_map, filesystem, keep_rows, slices
 from papyra.shared import shared_path
 
 Q, EDITS_PER_BYTE, SLACK, BLOCK_BYTES, SLICE_BYTES = 6, 1 / 8, 16, 1 << 18, 1 << 19
@@ -220,7 +220,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.array([i for _, i, _ in found], pa.int64()), pa.array([e for _, _, e in found], pa.int64())], ["doc_id", "item_id", "edits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, item_id long, edits long")
+    return arrow_map(rows, run, "doc_id long, item_id long, edits long")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

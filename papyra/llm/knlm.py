@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import deal, filesystem, slices
+from papyra.llm.common import arrow_map, deal, filesystem, slices
 from papyra.shared import input_bytes, shared_path, written
 
 MIN_COUNT, SLICE_BYTES, BUCKET_GRAMS, HEAVY_SHARE = 2, 6 << 20, 2_000_000, 8
@@ -223,7 +223,7 @@ def _heavy_contexts(texts: DataFrame, buckets: int) -> np.ndarray:
             other = np.arange(len(key)) == len(key) - 1
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(other)], ["key", "n", "other"])
 
-    counts = written(texts.select("text").mapInArrow(count, "key long, n long, other boolean").groupBy("key", "other").agg(F.sum("n").alias("n")), "lm-heavy")
+    counts = written(arrow_map(texts.select("text"), count, "key long, n long, other boolean").groupBy("key", "other").agg(F.sum("n").alias("n")), "lm-heavy")
     all_tokens = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.where(~F.col("other") & (F.col("n") > F.lit(all_tokens / (HEAVY_SHARE * buckets)))).select("key").collect()
     starts = np.array([_START])
@@ -316,10 +316,10 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
         return pa.RecordBatch.from_arrays([pa.array([v], pa.string() if k == "file" else pa.int32() if k in ("kind", "bucket") else pa.int64()) for k, v in zip(names, values)], names)
 
     schema = "bucket int, kind int, blob binary"
-    counted = deal(texts.mapInArrow(count, schema), parts, "bucket").sortWithinPartitions("bucket")
-    added = counted.mapInArrow(add, schema)
+    counted = deal(arrow_map(texts, count, schema), parts, "bucket").sortWithinPartitions("bucket")
+    added = arrow_map(counted, add, schema)
     dealt = deal(added, parts, "bucket").sortWithinPartitions("bucket")
-    rows = written(dealt.mapInArrow(gather, "kind int, bucket int, file string, n long, n1 long, n2 long, n3 long, n4 long, tokens long, types long, before long"), "lm-manifest")
+    rows = written(arrow_map(dealt, gather, "kind int, bucket int, file string, n long, n1 long, n2 long, n3 long, n4 long, tokens long, types long, before long"), "lm-manifest")
     return Model(uri, buckets, heavy, [r.asDict() for r in rows.collect()], min_count)
 
 
@@ -333,4 +333,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return arrow_map(rows, run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")

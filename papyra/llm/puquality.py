@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import keep_rows, slices
+from papyra.llm.common import arrow_map, keep_rows, slices
 from papyra.llm.labelled import agreed, by_hash, with_texts
 
 FOLDS, HELD_OUT, CUTOFF = 5, 0, 0.3
@@ -122,7 +122,7 @@ def _measured(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
         for part in slices(batches, "text", SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(list(matrix(part.column("text").to_pylist())), pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    rows = with_texts(docs, chosen).select("doc_id", "text").mapInArrow(measure, "doc_id long, x array<double>").orderBy("doc_id", "x").collect()
+    rows = arrow_map(with_texts(docs, chosen).select("doc_id", "text"), measure, "doc_id long, x array<double>").orderBy("doc_id", "x").collect()
     return np.array([r["x"] for r in rows], float).reshape(-1, len(NAMES))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import deal, slices
+from papyra.llm.common import arrow_map, deal, slices
 from papyra.shared import input_bytes
 
 WINDOW, MMER = 50, 5
@@ -331,7 +331,7 @@ def heavy_minimisers(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, he
             yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(n)], ["minimiser", "n"])
 
     texts = docs.where("text is not null").select(F.col("text").cast("binary").alias("text"))
-    counts = texts.mapInArrow(count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    counts = arrow_map(texts, count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") > heavy_strings).select("minimiser").collect()
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
@@ -393,9 +393,9 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(text.view(np.int64)), pa.array(start), pa.array(end)], ["doc", "text_hash", "start", "end"])
 
     texts = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"), F.spark_partition_id().alias("here"))
-    packed = texts.mapInArrow(pack, "bucket int, blob binary")
+    packed = arrow_map(texts, pack, "bucket int, blob binary")
     dealt = deal(packed, parts, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(merge, "doc long, text_hash long, start int, end int")
+    return arrow_map(dealt, merge, "doc long, text_hash long, start int, end int")
 
 
 def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, verbatim: bool = False) -> DataFrame:
@@ -440,5 +440,5 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucke
                 yield pa.RecordBatch.from_arrays([batch.column(6).take(pa.array(rows)), text_out, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], ["row", "kept_text", "n_words", "n_removed"])
 
     schema = T.StructType([T.StructField("row", kind), T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    done = dealt.mapInArrow(cut, schema)
+    done = arrow_map(dealt, cut, schema)
     return done.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "kept_text", "n_words", "n_removed")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.common import fold, slices
+from papyra.llm.common import arrow_map, fold, slices
 from papyra.llm.labelled import agreed, by_hash, with_texts
 
 FOLDS, HELD_OUT, CUTOFF = 4, 2, 0.3
@@ -214,7 +214,7 @@ def _stems(sample: DataFrame) -> dict[int, Stems]:
     def packed(held):
         return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), *(pa.array([v[k] for v in held.values()], pa.int64()) for k in range(4))], ["stem", "n00", "n01", "n10", "n11"])
 
-    counts = sample.select("half", "y", "text").mapInArrow(count, "stem string, n00 long, n01 long, n10 long, n11 long")
+    counts = arrow_map(sample.select("half", "y", "text"), count, "stem string, n00 long, n01 long, n10 long, n11 long")
     counts = counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")]).where(F.col("n01") + F.col("n11") >= STEM_TEXTS // 2).persist()
     sizes = {(r["half"], r["y"]): r["count"] for r in sample.groupBy("half", "y").count().collect()}
     out = {}
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", folds: int =
             x = np.concatenate([matrix([t], learned[1 - h]) for t, h in zip(part.column("text").to_pylist(), halves)])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    rows = sample.select("doc_id", "y", "half", "text").mapInArrow(measure, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()
+    rows = arrow_map(sample.select("doc_id", "y", "half", "text"), measure, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()
     sample.unpersist()
     known.unpersist()
     x, y = np.array([r["x"] for r in rows], float), np.array([r["y"] for r in rows], float)
@@ -274,5 +274,5 @@ def score(docs: DataFrame, scorer, folds: int = FOLDS, held_out: int = HELD_OUT,
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scorer.score(part.column("text").to_pylist()), pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = arrow_map(rows, run, "doc_id long, score double")
     return scored.select("doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score", (F.col("score") >= cutoff).cast("int").alias("predicted"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm.common import deal, filesystem, slices
+from papyra.llm.common import arrow_map, deal, filesystem, slices
 from papyra.operators.ranks import global_row_number
 from papyra.shared import shared_path, written
 
@@ -132,7 +132,7 @@ def write_archives(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, sha
 
     spark = pages.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.mapInArrow(place, "page_id long, url string, html binary, sha1 string, first long, kind int, shard long")
+    placed = arrow_map(rows, place, "page_id long, url string, html binary, sha1 string, first long, kind int, shard long")
     dealt = deal(placed, max(parts, len(starts)), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "sha1", "kind", F.asc_nulls_first("url"))
 
     def write(batches):
@@ -165,7 +165,7 @@ def write_archives(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, sha
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "tmp", "records", "bytes", "sha256", "shard"])
 
     pending = f"{uri}/_temporary/manifest"
-    dealt.mapInArrow(write, _FILE).write.parquet(pending)
+    arrow_map(dealt, write, _FILE).write.parquet(pending)
     manifest = spark.read.schema(_FILE).parquet(pending)
 
     def commit(batches):
@@ -176,7 +176,7 @@ def write_archives(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, sha
             yield batch
 
     final = f"{uri}/manifest"
-    manifest.mapInArrow(commit, _FILE).select("file", "records", "bytes", "sha256", "shard").write.mode("overwrite").parquet(final)
+    arrow_map(manifest, commit, _FILE).select("file", "records", "bytes", "sha256", "shard").write.mode("overwrite").parquet(final)
     return spark.read.schema("file string, records long, bytes long, sha256 string, shard long").parquet(final)
 
 
@@ -257,7 +257,7 @@ def read_archives(spark: SparkSession, uri: str, payloads: bool = False) -> Data
                     yield batch(rows)
 
     files = manifest.count()
-    return manifest.repartition(max(1, files), "file").mapInArrow(run, fields)
+    return arrow_map(manifest.repartition(max(1, files), "file"), run, fields)
 
 
 def round_trip(pages: DataFrame, **how) -> DataFrame:

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -71,11 +72,98 @@ ARTICLE = '<html><head><title>t</title><script>var a="</p>";</script></head><bod
 def test_article():
     assert htmldiff._text(ARTICLE) == "T & U\none two three\nfour"
     assert htmldiff._text("") == htmldiff._text(None) == ""
-    assert htmldiff._text('<main><p>a</p><div id="comments"><p>c</p></div><form><p>f</p></form><p>b<!-- c --></p></main><p>out</p>') == "a\nb"
+    assert htmldiff._text('<main><p>a first</p><div id="comments"><p>c</p></div><form><p>f</p></form><p>b<!-- c --></p></main><p>out</p>') == "a first\nb"
+    assert htmldiff._text("<article>teaser</article><div>the body of the page, outside</div>") == "teaser\nthe body of the page, outside"
     assert htmldiff._text("plain &lt;text&gt; &#233;") == "plain <text> é"
     assert htmldiff._text('<p>a</p><p class="ad">x<p>b</p><div class="cookie-notice"><div>y</div>z</div><p>c') == "a\nb\nc"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="content no-sidebar"><p>a', "a"),
+        ('<div title="a hidden gem">b', "b"),
+        ('<article class="post no-comments">c</article>', "c"),
+        ('<article><div class="article-header"><h1>Title</h1></div><p>x</article>', "Title\nx"),
+        ("<p title=it's>One</p><p>Two don't ...", "One\nTwo don't ..."),
+        ('<p title="oops>One</p><p>Two', "One\nTwo"),
+        ("1 < 2 and <b>3</b> > 2 <", "1 < 2 and 3 > 2 <"),
+        ('<div class="page sidebar"><article>in</article>out</div>', "in"),
+        ('<div hidden>x</div>y<input class="search">z<br/>w', "yz w"),
+        ("<p>a<script>if (x < 1) '</p>'</script>b<SCRIPT>c</Script>d<style>", "abd"),
+        ("<aside><article>teaser</article></aside><p>text", "text"),
+    ],
+)
+def test_marks_and_malformed_markup(page, text):
+    assert htmldiff._text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<b ", '<p x="', "<div>", "<!--", "<", "<script>", "<p>x", "<nav>", "<article>", "<a b='c> <a b=\"d> ", "&", "</p", "x "])
+def test_very_long_pages_take_one_pass(unit):
+    took = []
+    for size in (1 << 20, 5 << 20):
+        begun = time.process_time()
+        htmldiff._text(unit * (size // len(unit)))
+        took.append(time.process_time() - begun)
+    assert took[1] < 12 * took[0] + 0.5
+
+
+def brute_template(pages):
+    """Lines deleted by differencing, from known lines: pages are (host, path, [(line, kind)]) with no line twice in a page."""
+    out = {}
+    for host in {p[0] for p in pages}:
+        own = sorted({(p[1], tuple(p[2])) for p in pages if p[0] == host})
+        alike = {}
+        for path, lines in own:
+            alike.setdefault(lines, path)
+        order = sorted(alike, key=lambda x: alike[x])
+        for k, lines in enumerate(order):
+            size = lambda kinds: sum(len(t) for t, q in lines if q in kinds)  # noqa: B023, E731
+            article = size("A") >= max(size("P"), 1)
+            text = [x for x in lines if x[1] == "A" or (x[1] == "P" and not article)]
+            near = [order[j] for j in (k - 2, k - 1, k + 1, k + 2) if 0 <= j < len(order)]
+            shared = [{x for x in lines if (x[0], x[1] == "C") in {(t, q == "C") for t, q in other}} for other in near]
+            voters = [s for s in shared if sum(len(x[0]) for x in s if x in text) < 0.8 * sum(len(x[0]) for x in text)]
+            gone = set()
+            for x in lines:
+                v = sum(x in s for s in voters)
+                if (v >= 3 and v == len(voters)) if x in text and article else (v and 2 * v >= len(voters)):
+                    gone.add(x)
+            if shared and not voters:
+                every = set.intersection(*shared)
+                gone = {x for x in every if x not in text or (not article and set(text) - every)}
+            out[host, lines] = (gone, [t for t, q in lines if (t, q) in text and (t, q) not in gone])
+    return out
+
+
+def test_extraction_against_brute_force(spark):
+    rng = random.Random(4)
+    tag = {"P": "<div>{}</div>", "C": "<nav>{}</nav>", "A": "<p>{}</p>"}
+    pages = []
+    for i in range(260):
+        host, path = rng.choice(["a", "a", "a", "b", "c"]), f"/{rng.choice('xyz')}/{rng.randrange(400):03d}-{i}"
+        kind = "A" if rng.random() < 0.5 else "P"
+        head = [(f"menu {k} of {host}", "C") for k in range(3) if rng.random() < 0.7] + [(f"banner of {host} for all to see", "P")] * (rng.random() < 0.8)
+        body = [(f"story {i} part {k}, told at length" if rng.random() < 0.8 else f"quoted passage {rng.randrange(4)}", kind) for k in range(rng.randint(0, 4))]
+        body = list(dict.fromkeys(body)) + [(f"rights of {host}", kind)] * (rng.random() < 0.7)
+        tail = [(f"imprint of {host}", "P")] * (rng.random() < 0.8)
+        lines = sorted(head) + sorted(body) + tail
+        pages.append((host, path, lines))
+        if rng.random() < 0.1:
+            pages.append((host, path + "/copy", lines))
+    pages += [("a", f"/y/{k:03d}/same", pages[0][2]) for k in range(300)]  # a group of copies
+    rows = []
+    for i, (host, path, lines) in enumerate(pages):
+        inner = "".join(f"<article>{tag[k].format(t)}</article>" if k == "A" else tag[k].format(t) for t, k in lines)
+        rows.append((i, f"https://{host}.example{path}", f"<html><body>{inner}</body></html>"))
+    want = brute_template([(h, f"{p}?", x) for h, p, x in pages])
+    got = {r["page_id"]: r for r in htmldiff.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for i, (host, _, lines) in enumerate(pages):
+        gone, text = want[host, tuple(lines)]
+        assert (got[i]["n_template"], got[i]["text"]) == (len(gone), "\n".join(text))
+    assert sum(len(g) for g, _ in want.values()) > 300 and any(k == "A" for g, _ in want.values() for _, k in g)
+
+
 def test_differencing(spark):
     def soup(n, *lines):
         return "".join(f"<div>{x}</div>" for x in ("Site name", "Home News", *lines, f"story {n} with a text of its own", "All rights reserved"))
