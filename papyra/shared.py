@@ -1,7 +1,7 @@
 """Shared storage: the one folder that driver and executors both see.
 
-The place is ``spark.checkpoint.dir``; only where that is unset (tests, local runs) a temporary
-folder is used. Lineage is cut with reliable checkpoints or with tables written there.
+The place is ``spark.checkpoint.dir``; where that is unset a local session (tests) uses a temporary folder,
+and a cluster, whose machines don't share one, gets an error. Lineage is cut with reliable checkpoints or with tables written there.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ def shared_root(spark: SparkSession) -> str:
     ship(spark)
     root = sc.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that the driver and all executors share")
         root = _local.get(sc.applicationId) or _temporary(sc.applicationId)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
