@@ -17,7 +17,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_superkmer_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = superkmer.drop_repeated(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op8_kneser_ney_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

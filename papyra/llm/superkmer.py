@@ -399,19 +399,20 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
 
 
 def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, verbatim: bool = False) -> DataFrame:
-    """The columns of ``docs`` but ``text``, then kept_text, n_words and n_removed.
+    """(row, kept_text, n_words, n_removed): row holds the columns of ``docs`` but ``text``, whatever their names.
 
     kept_text is the kept words joined by single spaces; with ``verbatim``, texts that lose no word stay as they
-    are, nulls too. Columns of ``docs`` with one of these three names are left out.
+    are, nulls too.
     """
-    columns = [c for c in docs.columns if c not in ("text", "kept_text", "n_words", "n_removed")]
+    columns = [c for c in docs.columns if c != "text"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = covered_ranges(docs, window, mmer, bucket_bytes, heavy_strings)
-    row = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("row")
+    row = F.struct(F.lit(True).alias("given"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]).alias("row")
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.lit(1).alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.col("text").cast("binary").alias("bytes"), row)
     kind = base.schema["row"].dataType
     ranges = ranges.select("doc", "text_hash", F.lit(0).alias("kind"), "start", "end", F.lit(None).cast("binary").alias("bytes"), F.lit(None).cast(kind).alias("row"))
-    dealt = ranges.unionByName(base).repartition(parts, "doc").sortWithinPartitions("doc", "text_hash", "kind")
+    # By id and text: documents without an id are many, and only rows of one text need each other.
+    dealt = ranges.unionByName(base).repartition(parts, "doc", "text_hash").sortWithinPartitions("doc", "text_hash", "kind")
 
     def cut(batches):
         at, spans = None, []
@@ -441,4 +442,21 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucke
 
     schema = T.StructType([T.StructField("row", kind), T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     done = arrow_map(dealt, cut, schema)
-    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "kept_text", "n_words", "n_removed")
+    named = F.struct(*[F.col("row").getField(f"c{k}").alias(c) for k, c in enumerate(columns)])
+    return done.select(named.alias("row"), "kept_text", "n_words", "n_removed")
+
+
+def cut_texts(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with the covered words cut out of ``text``; a column ``n_chars`` counts the characters of texts that lost some. All
+    other columns pass unchanged, whatever their names."""
+    done = drop_repeated(docs, verbatim=True, **how)
+
+    def column(c: str):
+        kind, old = docs.schema[c].dataType, F.col("row").getField(c)
+        if c == "text":
+            return F.col("kept_text").cast(kind).alias(c)
+        if c == "n_chars":
+            old = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(old).cast(kind)
+        return old.alias(c)
+
+    return done.select(*[column(c) for c in docs.columns])

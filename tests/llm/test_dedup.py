@@ -1,10 +1,12 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import xxhash
 
-from papyra.llm import simhash, superkmer
+from papyra.llm import simhash, simtiles, superkmer
+from pyspark.sql import functions as F
 
 
 def brute_fingerprint(text):
@@ -65,13 +67,72 @@ def test_tiles_lose_no_link(spark):
     assert len(edges) < 3 * len(fps)
 
 
+def brute_set(text, n=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))} if words else set()
+
+
+def brute_groups(texts, similarity=0.8):
+    sets = [brute_set(t) for t in texts]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if len(a & b) >= similarity * len(a | b) - 1e-9:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
+def check_kept(table, given, got):
+    """One row of each group, that with the least id, all columns as they were."""
+    assert got.columns == table.columns and got.schema == table.schema
+    roots = brute_groups([r[1] for r in given])
+    low = {}
+    for r, k in zip(given, roots):
+        low[k] = min(low.get(k, (2, 0)), (r[0] is None, r[0] or 0))
+    have = [tuple(r) for r in got.collect()]
+    assert not Counter(have) - Counter(tuple(r) for r in given)
+    of = {}
+    for r, k in zip(given, roots):
+        of.setdefault((r[0], r[1]), k)
+    assert sorted((of[r[0], r[1]], (r[0] is None, r[0] or 0)) for r in have) == sorted(low.items())
+
+
 def test_keep_one(docs, rows, none):
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    got = kept.collect()
-    roots = dict(zip([(r[0], r[1]) for r in rows], components([brute_fingerprint(r[1]) for r in rows], 2)))
-    assert sorted(roots[r["doc_id"], r["text"]] for r in got) == sorted(set(roots.values()))
-    assert simhash.keep_one(none).count() == simhash.near_duplicates(none).count() == 0
+    check_kept(docs, rows, simtiles.keep_one(docs))
+    check_kept(docs, rows, simtiles.keep_one(docs.repartition(2), tile_rows=7))
+    assert simtiles.keep_one(none).count() == simhash.near_duplicates(none).count() == 0
+
+
+def test_keep_one_on_near_copies(spark):
+    """Groups of edited copies, large and small, over several tiles; chains included."""
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for k in range(60):
+        base = words(rng.randint(20, 300))
+        texts.append(" ".join(base))
+        for _ in range(40 if k == 0 else rng.randint(0, 4)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                copy[rng.randrange(len(copy))] = words(1)[0]
+            texts.append(" ".join(copy))
+            if rng.random() < 0.5:
+                base = copy
+    given = [(i, t, f"_{i}", i, "row", -i) for i, t in enumerate(texts)] + [(5, texts[5], "_5", 5, "other", 0), (None, texts[9], "x", 1, "y", 2)]
+    table = spark.createDataFrame(given, "doc_id long, text string, fp string, n long, root string, id long")
+    for how in ({}, {"tile_rows": 9}):
+        check_kept(table, given, simtiles.keep_one(table, **how))
+    sets = [simtiles.shingle_set(t.encode()) for t in texts]
+    assert [len(s) for s in sets] == [len(brute_set(t)) for t in texts]
+    near = sorted(brute_groups(texts))
+    assert 20 < len(set(near)) < len(texts)
 
 
 def brute_removed(rows, window):
@@ -97,15 +158,24 @@ def test_substrings(docs, rows):
         words, kept = brute_removed(rows, window)
         got = superkmer.drop_repeated(docs, window, bucket_bytes=bucket_bytes, heavy_strings=heavy)
         want = Counter((r[0], len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for r, w, k in zip(rows, words, kept))
-        assert Counter((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) for r in got.collect()) == want
+        assert Counter((r["row"]["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) for r in got.collect()) == want
         assert any(len(w) != len(k) for w, k in zip(words, kept))
 
 
 def test_verbatim_and_columns(docs, rows, none):
     out = superkmer.drop_repeated(docs, verbatim=True)
-    assert out.columns == [c for c in docs.columns if c != "text"] + ["kept_text", "n_words", "n_removed"]
+    assert out.columns == ["row", "kept_text", "n_words", "n_removed"] and out.schema["row"].dataType.names == [c for c in docs.columns if c != "text"]
     texts = Counter(r[1] for r in rows)
     assert all(r["kept_text"] in texts for r in out.where("n_removed = 0").collect())
+    clash = docs.withColumns({c: F.lit(f"own {c}") for c in ("kept_text", "n_words", "n_removed", "doc", "text_hash", "bytes", "start", "given", "c0", "a.b")})
+    got = superkmer.cut_texts(clash)
+    assert got.dtypes == clash.dtypes
+    words, kept = brute_removed(rows, 50)
+    want = Counter()
+    for r, w, k in zip(rows, words, kept):
+        text = r[1] if len(w) == len(k) else b" ".join(k).decode()
+        want[(r[0], text, *r[2:4], r[4] if len(w) == len(k) else len(text), *r[5:], *(f"own {c}" for c in clash.columns[len(r) :]))] += 1
+    assert Counter(tuple(r) for r in got.collect()) == want
     assert superkmer.drop_repeated(none).count() == 0
 
 
