@@ -1,20 +1,20 @@
 """From raw documents to a training mix: each stage takes what its predecessor kept, whole.
 
-1. quality classifier: documents predicted 0 go; 2. SimHash near-dedup: one document of each component
-stays; 3. substring dedup: words covered by a window that a smaller doc_id has are cut out, texts that
+1. quality classifier: documents predicted 0 go; 2. SimHash near-dedup: one document of each group of similarity 0.8
+of five-word shingles stays; 3. substring dedup: words covered by a window that a smaller doc_id has are cut out, texts that
 lose none stay as they are; 4. benchmark decontamination: documents in which an item is found go;
 5. mixing to target weights: one row per document with the words that the mix takes of it.
 
-The first four return the columns of the documents. Nulls, empties, repeated rows and empty tables are
+The first four return the columns of the documents, the third with cut texts and their n_chars; extra columns pass
+unchanged, whatever their names. Nulls, empties, repeated rows and empty tables are
 treated as the operators' docstrings say.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from papyra.llm import decontam, mixing, puquality, simhash, superkmer
+from papyra.llm import decontam, mixing, puquality, simtiles, superkmer
 from papyra.llm.common import read
 from papyra.shared import written
 
@@ -24,14 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return simtiles.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = superkmer.drop_repeated(docs, verbatim=True).withColumnRenamed("kept_text", "text")
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return superkmer.cut_texts(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
