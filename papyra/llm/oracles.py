@@ -36,28 +36,32 @@ _RATES = {
 }
 _GRID = ", ".join(f"('{rule}', {cutoff}::DOUBLE)" for rule, cutoffs in risk_rules.GRID.items() for cutoff in cutoffs)
 _VALUES = " UNION ALL ".join(f"SELECT row, stratum, '{rule}' AS rule, {value} AS value FROM f" for rule, value in _RATES.items())
-_P = risk_rules.RISK / len(risk_rules.GRID)
 
-RULES = rf"""
+
+def rules(risk: float = risk_rules.RISK, delta: float = risk_rules.DELTA) -> str:
+    p = risk / len(risk_rules.GRID)
+    return rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '(none)') AS stratum, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
 win AS (SELECT row, unnest(list_transform(range(greatest(len(w) - 4, 0)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS win, unnest(range(greatest(len(w) - 4, 0))) AS p FROM d),
 twice AS (SELECT row, p, count(*) OVER (PARTITION BY row, win) AS n FROM win),
 spans AS (SELECT row, least(5, coalesce(lead(p) OVER (PARTITION BY row ORDER BY p) - p, 5)) AS n FROM twice WHERE n > 1),
 rep AS (SELECT row, sum(n) AS n FROM spans GROUP BY row),
 f AS (
-  SELECT d.row, doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+  SELECT d.row, doc_id, stratum, text, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
          len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d) d LEFT JOIN rep ON rep.row = d.row),
 rated AS (SELECT *, n_words < {risk_rules.MIN_WORDS} OR 100 * n_repeat_words > {risk_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f),
 vals AS ({_VALUES}),
-known AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality) ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {risk_rules.HOLDOUT_ROWS}),
+known AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)),
+each AS (SELECT row, stratum, md5(text) AS text, quality FROM rated JOIN known USING (doc_id) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY md5(text), stratum) = 1),
+trials AS (SELECT min(row) AS row, max(quality) AS quality FROM each GROUP BY stratum, text HAVING min(quality) = max(quality)),
 grid(rule, cutoff) AS (VALUES {_GRID}),
 counts AS (
   SELECT v.stratum, v.rule, cutoff, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE quality = 1 AND value > cutoff) AS false_rejected, count(*) FILTER (WHERE quality = 0) AS bad, count(*) FILTER (WHERE quality = 0 AND value > cutoff) AS rejected
-  FROM vals v JOIN rated USING (row) JOIN known USING (doc_id) JOIN grid USING (rule) WHERE NOT base_failed GROUP BY v.stratum, v.rule, cutoff),
+  FROM vals v JOIN rated USING (row) JOIN trials USING (row) JOIN grid USING (rule) WHERE NOT base_failed GROUP BY v.stratum, v.rule, cutoff),
 cdf AS (
-  SELECT *, list_sum(list_transform(range(false_rejected + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({_P!r}) + (good - i) * ln(1 - {_P!r})))) AS p FROM counts WHERE false_rejected < good * {_P!r}),
-gains AS (SELECT *, round(rejected / greatest(bad, 1)::DOUBLE - false_rejected / good::DOUBLE, 9) AS gain FROM cdf WHERE p <= {risk_rules.DELTA}::DOUBLE / {sum(map(len, risk_rules.GRID.values()))} / (SELECT count(DISTINCT stratum) FROM counts)),
+  SELECT *, list_sum(list_transform(range(false_rejected + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({p!r}) + (good - i) * ln(1 - {p!r})))) AS p FROM counts WHERE false_rejected < good * {p!r}),
+gains AS (SELECT *, round(rejected / greatest(bad, 1)::DOUBLE - false_rejected / good::DOUBLE, 9) AS gain FROM cdf WHERE p <= {delta}::DOUBLE / {sum(map(len, risk_rules.GRID.values()))} / (SELECT count(DISTINCT stratum) FROM counts)),
 best AS (SELECT stratum, rule, arg_max(cutoff, (gain, cutoff)) AS cutoff FROM gains WHERE gain > 0 GROUP BY stratum, rule),
 failed AS (SELECT DISTINCT row FROM vals JOIN best USING (stratum, rule) WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND row NOT IN (SELECT row FROM failed) AS kept FROM rated
@@ -67,5 +71,5 @@ ORACLE_SQL = {
     "op1_warc_round_trip": WARC,
     "op2_capped_water_filling_mix": mixing.ORACLE_SQL,
     "op7_superkmer_substring_dedup": SUBSTRINGS,
-    "op10_risk_controlled_quality_rules": RULES,
+    "op10_risk_controlled_quality_rules": rules(),
 }

@@ -7,9 +7,13 @@ number of good documents it would reject is binomial; a cutoff is admitted only
 1 - ``DELTA`` over all strata, rules and cutoffs together (Bonferroni). As all bounds hold at once, any
 admitted cutoff may be chosen: that with the largest difference between the rejected shares of bad and of
 good documents, if it is positive; of equal ones the loosest. A stratum without enough good documents
-admits nothing and loses nothing. The thresholds are fitted on all labelled rows: features are written once
+admits nothing and loses nothing. The thresholds are fitted on all labelled documents: features are written once
 for all documents, and only numbers are shuffled to the labels. Counts per document are always of the whole text.
 
+A trial is a distinct text of a stratum, so neither repeated rows nor ids that share a text count twice. Of rows that
+repeat an id, that with the least md5 of the text, then the least language, counts; texts whose ids have both labels
+aren't used. Near copies with other words are trials of their own: the bound takes them as independent.
+
 Repeated windows are found by 64-bit hashes of five word hashes.
 
 Nulls and empties: a null text has no words and fails the base rule; a null language is a stratum of its own;
@@ -26,8 +30,6 @@ from papyra.llm.common import WORD
 from papyra.shared import written
 
 RISK, DELTA = 0.02, 0.05
-#: Labelled rows that the SQL form takes; the operator takes all.
-HOLDOUT_ROWS = 40_000
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Cutoffs by rule, in order; a value above the cutoff is rejected (for mean_chars_low: its negative).
@@ -108,8 +110,9 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def rated(docs: DataFrame) -> DataFrame:
-    """(doc_id, stratum, features) of all documents."""
-    return features(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum"))
+    """(doc_id, stratum, text_md5, features) of all documents."""
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5")
+    return features(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang"), F.lit("(none)")).alias("stratum"), digest)
 
 
 def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -120,7 +123,11 @@ def thresholds(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
 def fitted(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """``thresholds`` from ``rated`` rows."""
     agreed = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("low"), F.max("quality").alias("quality")).where("low = quality")
-    known = rows.where(~base_failed()).join(agreed.select("doc_id", "quality"), "doc_id")
+    numbers = [c for c in rows.columns if c not in ("doc_id", "stratum", "text_md5")]
+    labelled = rows.join(agreed.select("doc_id", "quality"), "doc_id")
+    each = labelled.groupBy("doc_id").agg(F.min(F.struct("text_md5", "stratum", "quality", *numbers)).alias("of")).select("of.*")
+    texts = each.groupBy("stratum", "text_md5").agg(F.min("quality").alias("low"), F.max("quality").alias("quality"), *[F.min(c).alias(c) for c in numbers])
+    known = texts.where("low = quality").where(~base_failed())
     # How many cutoffs of its grid a value is above: rows are counted by that before the cutoffs are told apart.
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), sum(((v > F.lit(float(c))).cast("int") for c in GRID[r]), F.lit(0)).alias("above")) for r, v in rule_values().items()])
     good, n = F.col("quality") == 1, F.col("n")
@@ -145,4 +152,4 @@ def judge(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     cutoffs = F.broadcast(fitted(rows, labels, **how))  # at most one row for each stratum among the labelled rows
     failed = F.filter(F.array(*[F.when(v > F.col("cutoffs")[r], F.lit(r)) for r, v in rule_values().items()]), lambda r: r.isNotNull())
     rows = rows.join(cutoffs, "stratum", "left").withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("cutoffs", "stratum")
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("cutoffs", "stratum", "text_md5")

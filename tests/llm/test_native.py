@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from papyra.llm import mixing, risk_rules
+from papyra.llm.oracles import rules
 from papyra.llm.queries import ORACLE_SQL, QUERIES
 
 WORD = re.compile(risk_rules.WORD)
@@ -89,15 +90,55 @@ def test_thresholds_use_every_label(spark):
     """A language with 2,100 good documents of 46,300 labelled ones: a bound of 40,000 rows left it under the 1,942 that a cutoff needs with two languages."""
     bad = F.col("doc_id").between(2_100, 2_199)
     ids = spark.range(46_300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2_200, "es").otherwise("en").alias("lang"))
-    docs = ids.withColumn("text", F.when(bad, F.lit("w% b$ c# d& e% f* g| h> i< j#")).otherwise(F.lit("alpha beta gamma delta eps zeta eta theta iota kappa")))
+    own = F.concat(F.lit(" word"), F.col("doc_id").cast("string"))
+    docs = ids.withColumn("text", F.concat(F.when(bad, F.lit("w% b$ c# d% e& f* g| h> i< j#")).otherwise(F.lit("alpha beta gamma delta eps zeta eta theta iota kappa")), own))
     labels = ids.select("doc_id", F.when(bad, 0).otherwise(1).alias("quality"))
-    least = ids.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary"))).limit(risk_rules.HOLDOUT_ROWS).where("doc_id < 2100").count()
-    assert least < 1_942
     chosen = {r["stratum"]: r["cutoffs"] for r in risk_rules.thresholds(docs, labels).collect()}
-    assert chosen["es"] == {"symbols_per_word": 0.75, "mean_chars_low": -2.25}
+    assert set(chosen["es"]) == {"symbols_per_word", "mean_chars_low"}
     assert risk_rules.judge(docs, labels).where("kept").count() == 46_200
 
 
+def test_one_text_is_one_trial(spark):
+    """Neither repeated rows of one id nor ids that share a text add trials."""
+    text = F.concat(F.lit("alpha beta gamma delta eps zeta eta theta iota kappa word"), F.col("id").cast("string"))
+    few = spark.range(300).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    bad = spark.range(1000, 1100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w% b$ c# d% e& f* g| h> i< j# "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    copies = spark.range(6000).select((F.col("id") % 2 * (5000 + F.col("id"))).alias("doc_id"), F.lit("alpha beta gamma delta eps zeta eta theta iota kappa word0").alias("text"), F.lit("en").alias("lang"))
+    docs = few.unionByName(bad).unionByName(copies)
+    labels = docs.select("doc_id", F.col("doc_id").between(1000, 1099).cast("int").alias("bad")).selectExpr("doc_id", "1 - bad as quality")
+    assert risk_rules.thresholds(docs, labels).count() == 0
+    assert risk_rules.thresholds(docs, labels, risk=0.3).count() == 1
+
+
+def test_admitted_cutoffs_against_sql(spark, tmp_path):
+    """Tables on which cutoffs are admitted, with repeated rows, ids with two texts, shared texts, nulls; DuckDB gives the same rows."""
+    import random
+
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    rows, labels = [], []
+    for i in range(5000):
+        bad = rng.random() < 0.2
+        words = [word() + ("" if not bad or rng.random() < 0.5 else rng.choice("#*$%")) for _ in range(rng.randint(12, 30))]
+        lines = ["one line"] * (3 * (bad and rng.random() < 0.5))
+        rows.append((i, "\n".join([" ".join(words), *lines]), rng.choice(["en", "en", "en", "de", "fr", None])))
+        labels += [(i, int(not bad))] * (rng.random() < 0.9)
+    rows += rows[:50] + [(i, rows[i + 1][1], "de") for i in range(60, 90)] + [(6000 + i, rows[7][1], "en") for i in range(300)] + [(None, rows[0][1], "en"), (7000, None, "en"), (7001, "", None)]
+    labels += [(6000 + i, i % 2) for i in range(300)] + [(1, 0), (None, 1), (7000, 1), (7001, None)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int")
+    con = duckdb.connect()
+    for name, table in (("documents", docs), ("labels", known)):
+        table.write.parquet(f"{tmp_path}/{name}")
+        con.sql(f"create view {name} as select * from '{tmp_path}/{name}/*.parquet'")
+    chosen = {r["stratum"]: r["cutoffs"] for r in risk_rules.thresholds(docs, known, risk=0.2).collect()}
+    assert set(chosen) == {"en", "de", "fr", "(none)"} and len(chosen["en"]) >= 2
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = Counter(tuple(r) for r in risk_rules.judge(docs, known, risk=0.2).select(*columns).collect())
+    assert got == Counter(con.sql(f"select {', '.join(columns)} from ({rules(risk=0.2)})").fetchall())
+    assert sum(n for r, n in got.items() if not r[-2] and not r[-1]) > 300
+
+
 def test_no_python_in_native_plans(docs, spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     for df in (mixing.mix(docs), risk_rules.judge(docs, labels)):
