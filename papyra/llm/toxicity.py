@@ -8,7 +8,8 @@ The learned lexicon is cross-fitted: a training row's densities use stems learne
 Calibration uses scores of trees that didn't see the row.
 
 Nulls and empties: a null or empty text has zero features and gets a score like any other. Null labels and
-ids with both labels aren't learned from; rows of a null doc_id are scored, with held_out false. With labels of
+ids with both labels aren't learned from; rows of a null doc_id are scored, with held_out false. Of rows that repeat an id that
+with the least text is learned from. With labels of
 one class only every score is that class; with none, 0. Extra columns are ignored, repeated rows are
 repeated in the result, an empty table gives an empty result.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from papyra.llm.common import arrow_map, fold, slices
 from papyra.llm.labelled import agreed, by_hash, with_texts
+from papyra.shared import written
 
 FOLDS, HELD_OUT, CUTOFF = 4, 2, 0.3
 SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 8_000, 12_000
@@ -242,7 +244,9 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", folds: int =
         return Scorer(constant=float(next(iter(counts), 0)))
     chosen = by_hash(known.where("y = 1"), SAMPLE_POSITIVE).unionByName(by_hash(known.where("y = 0"), SAMPLE_NEGATIVE))
     half = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 64), F.lit(2)).cast("int")
-    sample = with_texts(docs, chosen).withColumn("half", half).persist()
+    # One row of each id, however often it stands in the documents: that with the least text.
+    drawn_rows = with_texts(docs, chosen).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    sample = written(drawn_rows.withColumn("half", half), "toxicity-sample")
     learned = _stems(sample)
 
     def measure(batches):
@@ -252,7 +256,6 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", folds: int =
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
     rows = arrow_map(sample.select("doc_id", "y", "half", "text"), measure, "doc_id long, y int, x array<double>").orderBy("doc_id").collect()
-    sample.unpersist()
     known.unpersist()
     x, y = np.array([r["x"] for r in rows], float), np.array([r["y"] for r in rows], float)
     drawn = np.array([(y == 0).sum(), (y == 1).sum()])

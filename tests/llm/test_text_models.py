@@ -182,6 +182,115 @@ def test_quality(spark):
     assert kept.columns == table.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in got if r["predicted"])
 
 
+def test_pu_risk_and_gradients(spark):
+    """The non-negative risk by its definition, and its gradients by differences; a negative part below zero is turned round."""
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(0.6, 1, (40, 3)), rng.normal(-0.2, 1, (70, 3))
+    network = puquality.Network(np.concatenate([p, u]))
+    zp, zu = network.prepared(p), network.prepared(u)
+    log_loss = lambda z, y: float(np.mean([math.log1p(math.exp(-v if y else v)) for v in network.logit(z)]))
+    for prior, turned in ((0.3, False), (0.98, True)):
+        if turned:
+            network.w[3] = network.w[3] + 3.0
+            zu = zu - 2.0
+        positive, negative, grads = network.risk(zp, zu, prior)
+        assert math.isclose(positive, prior * log_loss(zp, True)) and math.isclose(negative, log_loss(zu, False) - prior * log_loss(zp, False))
+        assert (negative < 0) == turned
+        whole = lambda: -network.risk(zp, zu, prior)[1] if turned else sum(network.risk(zp, zu, prior)[:2])  # noqa: B023, E731
+        for k, g in enumerate(grads):
+            for at in list(np.ndindex(network.w[k].shape))[:: max(1, network.w[k].size // 7)]:
+                kept = network.w[k][at]
+                network.w[k][at] = kept + 1e-5
+                up = whole()
+                network.w[k][at] = kept - 1e-5
+                down = whole()
+                network.w[k][at] = kept
+                assert math.isclose((up - down) / 2e-5, g[at], rel_tol=1e-4, abs_tol=1e-7)
+
+
+def test_prior_from_positives_and_unlabelled():
+    rng = np.random.default_rng(5)
+    for prior in (0.2, 0.5, 0.85):
+        good, bad = rng.normal(1.5, 1, (3000, 4)), rng.normal(-1.5, 1, (3000, 4))
+        unlabelled = np.where(rng.random((3000, 1)) < prior, rng.normal(1.5, 1, (3000, 4)), bad)
+        assert abs(puquality.estimated_prior(good, unlabelled) - prior) < 0.05
+    scores = np.concatenate([np.ones(50), np.zeros(50)])
+    assert puquality.least_quotient(np.ones(100), scores) == 0.5 and puquality.least_quotient(scores, scores) == 1.0
+
+
+def test_held_out_and_negative_labels_change_nothing(spark):
+    table, labels, _, _ = classified(spark)
+    got = {(r["doc_id"], r["score"]) for r in toxicity.score(table, puquality.fit(table, labels), 5, 0).collect()}
+    other = labels.withColumn("quality", F.when(fold(F.col("doc_id"), 5) == 0, 1 - F.col("quality")).otherwise(F.when(F.col("quality") == 1, 1)))
+    again = {(r["doc_id"], r["score"]) for r in toxicity.score(table.repartition(4), puquality.fit(table.repartition(3), other.where("doc_id <> 20")), 5, 0).collect()}
+    assert got == again
+
+
+def test_repeated_rows_are_learned_from_once(spark):
+    """A document that stands there a thousand times more changes no score, and one row of it reaches the driver."""
+    table, labels, _, _ = classified(spark)
+    more = table.union(table.where("doc_id in (8, 15)").crossJoin(spark.range(500)).select(table.columns))
+    for module, folds in ((toxicity, (4, 2)), (puquality, (5, 0))):
+        one, two = ({(r["doc_id"], r["score"]) for r in toxicity.score(table, module.fit(t, labels), *folds).collect()} for t in (table, more))
+        assert one == two
+
+
+def naive_boosting(x, y, weight, trees):
+    """Boosted trees with every cut of every feature tried in turn."""
+    share = sum(w * v for w, v in zip(weight, y)) / sum(weight)
+    start = math.log(share / (1 - share))
+    edges = [sorted(set(np.quantile(x[:, f], np.linspace(0, 1, trees.bins + 1)[1:-1]).tolist())) for f in range(x.shape[1])]
+    total = [start] * len(y)
+    for _ in range(trees.rounds):
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        g, h = [w * (a - b) for w, a, b in zip(weight, p, y)], [w * max(a * (1 - a), 1e-6) for w, a in zip(weight, p)]
+        leaves = [list(range(len(y)))]
+        for _ in range(trees.depth):
+            new = []
+            for rows in leaves:
+                best = (1e-9, None, None)
+                G, H = sum(g[i] for i in rows), sum(h[i] for i in rows)
+                for f in range(x.shape[1]):
+                    for c in edges[f]:
+                        left = [i for i in rows if x[i, f] <= c]
+                        gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+                        if hl < 1 or H - hl < 1:
+                            continue
+                        gain = gl**2 / (hl + trees.ridge) + (G - gl) ** 2 / (H - hl + trees.ridge) - G**2 / (H + trees.ridge)
+                        if gain > best[0] + 1e-9:
+                            best = (gain, f, c)
+                keep = [i for i in rows if best[1] is None or x[i, best[1]] <= best[2]]
+                new += [keep, [i for i in rows if i not in set(keep)]]
+            leaves = new
+        for rows in leaves:
+            value = -trees.rate * sum(g[i] for i in rows) / (sum(h[i] for i in rows) + trees.ridge)
+            for i in rows:
+                total[i] += value
+    return np.array(total)
+
+
+def test_trees_against_every_cut():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 3)).round(2)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] > 0.5)).astype(float)
+    weight = rng.integers(1, 4, 120).astype(float)
+    trees = toxicity.Trees(rounds=4, depth=2, rate=0.3, bins=8)
+    assert np.allclose(trees.fit(x, y, weight).raw(x), naive_boosting(x, y, weight, trees))
+    flat = toxicity.Trees(rounds=2, depth=2).fit(np.zeros((9, 2)), np.array([0, 1] * 4 + [0.0]), np.ones(9))
+    assert np.allclose(flat.raw(np.zeros((1, 2))), flat.raw(np.ones((1, 2))))
+
+
+def test_features_by_hand():
+    """Dense features of short texts, counted by hand."""
+    f = dict(zip(toxicity.NAMES, toxicity.features(b"YOU are an idiot, id1ot! i d i o t??", toxicity.Stems({"idio": 2.0}))))
+    words = 10
+    assert math.isclose(f["words"], math.log1p(words)) and math.isclose(f["insults"], 100 / words) and math.isclose(f["second"], 100 / words)
+    assert (f["near"], f["stretch"], f["leet_hits"]) == (1, 1, 1) and math.isclose(f["stems"], 100 / words) and math.isclose(f["odds"], 200 / words)
+    assert math.isclose(f["exclaims"], 1 / words) and math.isclose(f["questions"], 2 / words) and math.isclose(f["capitals"], 3 / 22)
+    q = dict(zip(puquality.NAMES, puquality.features(b"a a a bb CC. 12\nx | y\nx | y")))
+    assert math.isclose(q["words"], math.log1p(12)) and q["twins"] == 2 / 12 and q["distinct"] == 7 / 12 and q["lines"] == 3 / 12 and math.isclose(q["dup_lines"], 1 / 3) and q["ends"] == 0.0 and q["bars"] == 2 / 12
+
+
 def test_isotonic_is_the_least_squares_fit():
     rng = np.random.default_rng(0)
     raw, y = rng.normal(size=60), rng.integers(0, 2, 60).astype(float)
