@@ -99,38 +99,65 @@ def distance(pattern, text):
     return min(row)
 
 
-@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 60])
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_CHARS, 60])
 def test_decontamination_against_edit_distance(spark, monkeypatch, block_bytes):
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", block_bytes)
     rng = random.Random(2)
-    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6)))
-    items = [(i, " ".join(word() for _ in range(rng.randint(3, 25)))) for i in range(12)] + [(50, None), (51, ""), (52, "ab"), (None, "the item without any number at all")]
+    word = lambda: "".join(rng.choice("abcdeé字林") for _ in range(rng.randint(1, 6)))
+    items = [(i, " ".join(word() for _ in range(rng.randint(3, 25)))) for i in range(12)] + [(50, None), (51, ""), (52, "ab"), (53, "x y"), (54, "ÉÖ z"), (None, "the item without any number at all"), (55, "字林海山水木" * 4)]
     texts = []
     for k in range(60):
         t = list(items[k % 12][1])
         for _ in range(rng.randint(0, len(t) // 6)):
             at = rng.randrange(len(t))
-            t[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "yz"])
+            t[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "yz", "明"])
         texts.append(f"{' '.join(word() for _ in range(rng.randint(0, 30)))}\n{''.join(t).upper() if k % 2 else ''.join(t)}  {' '.join(word() for _ in range(rng.randint(0, 30)))}")
+    texts += ["cab ab", "cab", "AB", "y x  Y", "x yy", "öé éö\tz", "字林海山水木" * 3 + "字林海明水木", "字林海山水木" * 2 + "字明海明水木明", "ab " * 70_000 + items[3][1]]
     docs = [(i, t, i) for i, t in enumerate(texts)] + [(90, None, 1), (91, "", 1), (None, "see the item without any number at all", 1), (0, texts[0], 0)]
-    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2)
     table = spark.createDataFrame(docs, "doc_id long, text string, item_id long").repartition(2)
     got = Counter((r["doc_id"], r["item_id"], r["edits"]) for r in decontam.matches(table, bench).collect())
     want = Counter()
     for d, t, _ in docs:
         for i, x in items:
-            p, s = decontam.normalise((x or "").encode()), decontam.normalise((t or "").encode())
-            if len(p) >= decontam.Q:
-                e = distance(p, s)
+            p, s = (decontam.normalise((v or "").encode()).decode() for v in (x, t))
+            if 0 < len(p) < decontam.Q:
+                if f" {p} " in f" {s} ":
+                    want[d, i, 0] += 1
+            elif p:
+                e = distance(p, s[-3000:])
                 if e <= min(len(p) // 8, (len(p) - decontam.Q) // decontam.Q):
                     want[d, i, e] += 1
-    assert got == want and len(want) > 30
+    assert got == want and len(want) > 30 and {52, 53, 54, 55} <= {i for _, i, _ in want}
     dirty = {d for d, _, _ in want}
     clean = decontam.clean(table, bench)
     assert clean.columns == table.columns and Counter(r["doc_id"] for r in clean.collect()) == Counter(d for d, _, _ in docs if d not in dirty)
     assert decontam.matches(table.limit(0), bench).count() == decontam.matches(table, bench.limit(0)).count() == 0
 
 
+def test_many_short_documents_and_items_stay_small():
+    """Memory goes with shared grams, not with documents times items."""
+    import tracemalloc
+
+    block = decontam.Block(list(range(26_000)), [b"item %06d" % i for i in range(26_000)])
+    tracemalloc.start()
+    found = decontam.matches_of(block, [b"text %06d here" % i for i in range(4095)] + [b"see item 000077 here"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (4095, 77, 0) in found and peak < 200 << 20
+
+
+def test_a_very_long_item(spark):
+    rng = random.Random(1)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(1500))
+    near = list(item)
+    for k in range(0, len(near), 50):
+        near[k] = "z"
+    block = decontam.Block([1], [item.encode()])
+    found = decontam.matches_of(block, [("lead " * 200_000 + "".join(near) + " tail").encode(), b"nothing"])
+    assert [(k, i) for k, i, _ in found] == [(0, 1)] and 150 < found[0][2] <= 210
+
+
 def classified(spark, n=400):
     rng = random.Random(1)
     docs, labels = [], []
