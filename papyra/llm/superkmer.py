@@ -10,13 +10,16 @@ Hot groups: a map task sends each distinct packed string once for each batch, fo
 doc_id; windows of its other documents are covered already and travel as plain ranges. So the inside of a passage
 that a third of all documents share reaches its bucket as one row for each batch. The strings at the
 passage's ends differ in every document but have its minimisers; a first pass counts distinct strings for each
-minimiser, and windows of those with over ``HEAVY_STRINGS`` are dealt one by one, by a 128-bit digest of their
-words that then stands for the window. Buckets hold a bounded number of bytes: their number grows with the
-input. Strings of a bucket are compressed together.
+minimiser, and windows of those with over ``HEAVY_STRINGS`` have themselves as minimiser: each is a string of its own, in
+the bucket of its own hash, compared word for word like all others. The heavy minimisers lie in files that tasks map.
+
+A bucket holds a bounded number of bytes, worked through cell by cell: the number of buckets grows with the input.
+Beyond ``FAN_OUT`` buckets strings are dealt twice, first to groups of buckets and then within each, so that
+a blob always holds many strings. Strings of a blob are compressed together.
 
 The ranges and the documents then meet in one sort on (doc_id, hash of text), read as a stream.
 
-Nulls and empties: a null text has no words. A null doc_id counts as larger than every id, and two null
+Nulls and empties: a null text has no words. A null doc_id counts as the largest number (2^63 - 1), and two null
 ids as one document. Rows that repeat a doc_id don't cover one another. Rows that repeat both doc_id and
 text are repeated in the result. Extra columns pass through.
 An empty table gives an empty result.
@@ -24,7 +27,9 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import struct
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, deal, slices
-from papyra.shared import input_bytes
+from papyra.llm.common import arrow_map, deal, filesystem, slices
+from papyra.shared import input_bytes, shared_path, written
 
 WINDOW, MMER = 50, 5
 BUCKET_BYTES, SLICE_BYTES, FLUSH_BYTES = 40 << 20, 1 << 20, 20 << 20
-SUB = 8  # a bucket is worked through in so many parts
-HEAVY_STRINGS = 8192
+SUB = 8  # cells of a bucket
+HEAVY_STRINGS, FAN_OUT = 8192, 8192
 _B, _C = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_C), -1, 1 << 64))
 _NULL_ID = (1 << 63) - 1
@@ -133,16 +138,13 @@ class _Batch:
 
     def __init__(self):
         self.strings: dict[bytes, list] = {}
-        self.digests: dict[bytes, list] = {}
         self.bytes = 0
         self.covered: list[tuple[int, int, int, int]] = []
 
     def add(self, doc: int, text: int, start: int, minimiser: int, packed: bytes, n_words: int) -> None:
-        """A packed string; with minimiser -1 the digest of a single window."""
-        strings = self.strings if minimiser >= 0 else self.digests
-        kept = strings.get(packed)
+        kept = self.strings.get(packed)
         if kept is None:
-            strings[packed] = [minimiser, n_words, doc, [(text, start)]]
+            self.strings[packed] = [minimiser, n_words, doc, [(text, start)]]
             self.bytes += len(packed) + 200
         elif doc == kept[2]:
             kept[3].append((text, start))
@@ -155,27 +157,18 @@ class _Batch:
                 kept[2:] = [doc, [(text, start)]]
             self.bytes += 100
 
-    def rows(self, buckets: int):
-        """(bucket, blob): a blob has SUB parts, each the places of its strings and then the strings."""
-        by: dict[int, list] = {}
+    def rows(self, groups: int, cells: int):
+        """(group, blob): a cell's part of a blob holds the places of its strings and then the strings."""
+        by: dict[int, dict[int, list]] = {}
         for packed, (minimiser, _, doc, places) in self.strings.items():
-            of = minimiser >> 20
-            by.setdefault(of % buckets, []).append((of // buckets % SUB, packed, doc, places))
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for bucket, entries in by.items():
+            cell = (minimiser >> 20) % cells
+            by.setdefault(cell % groups, {}).setdefault(cell, []).append((packed, doc, places))
+        for group, of in by.items():
             parts = []
-            for sub in range(SUB):
-                own = [e for e in entries if e[0] == sub]
-                meta = [(k, e[2], t, s) for k, e in enumerate(own) for t, s in e[3]]
-                columns = [np.array([m[j] for m in meta], kind).tobytes() for j, (_, kind) in enumerate(_META)]
-                parts.append(struct.pack("<q", len(meta)) + b"".join(columns) + b"\n".join([e[1] for e in own]))
-            yield bucket, b"S" + squeeze.compress(struct.pack(f"<{SUB}q", *map(len, parts)) + b"".join(parts))
-        by = {}
-        for digest, (_, _, doc, places) in self.digests.items():
-            high, low = struct.unpack("<QQ", digest)
-            by.setdefault(high % buckets, []).extend((high, low, doc, t, s) for t, s in places)
-        for bucket, rows in by.items():
-            yield bucket, b"W" + squeeze.compress(_packed_columns(rows, _WINDOWS))
+            for cell, own in of.items():
+                meta = [(k, e[1], t, s) for k, e in enumerate(own) for t, s in e[2]]
+                parts.append((cell, _packed_columns(meta, _META) + b"\n".join([e[0] for e in own])))
+            yield group, _blob(parts)
 
     def ranges(self) -> list[tuple[int, int, int, int]]:
         """The covered ranges, with those that touch put together."""
@@ -191,9 +184,6 @@ class _Batch:
 _RANGES = [("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32), ("end", np.int32)]
 
 
-_WINDOWS = [("high", np.uint64), ("low", np.uint64), ("doc", np.int64), ("text_hash", np.uint64), ("start", np.int32)]
-
-
 def _packed_columns(rows: list[tuple], fields) -> bytes:
     return struct.pack("<q", len(rows)) + b"".join(np.array([r[j] for r in rows], kind).tobytes() for j, (_, kind) in enumerate(fields))
 
@@ -206,23 +196,29 @@ def _unpack(blob: bytes, fields) -> tuple[dict[str, np.ndarray], bytes]:
     return out, blob[at:]
 
 
+def _blob(parts: list[tuple[int, bytes]]) -> bytes:
+    head = np.array([(cell, len(part)) for cell, part in parts], np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(struct.pack("<q", len(parts)) + head.tobytes() + b"".join(part for _, part in parts))
+
+
+def _cells(blob: bytes) -> list[tuple[int, bytes]]:
+    raw = zstandard.decompress(blob)
+    (n,) = struct.unpack_from("<q", raw)
+    at, out = 8 + 16 * n, []
+    for cell, size in np.frombuffer(raw, np.int64, 2 * n, 8).reshape(n, 2).tolist():
+        out.append((cell, raw[at : at + size]))
+        at += size
+    return out
+
+
 def _bucket_ranges(blobs: list[bytes], window: int):
-    """(doc, text_hash, start, end) arrays of what one bucket finds covered, part by part."""
-    raw, digests = [], []
+    """(doc, text_hash, start, end) arrays of what one bucket finds covered, cell by cell."""
+    parts: dict[int, list[bytes]] = {}
     while blobs:
-        blob = blobs.pop()
-        (raw if blob[:1] == b"S" else digests).append(zstandard.decompress(memoryview(blob)[1:]))
-    if digests:
-        yield _digest_ranges(digests, window)
-    for sub in range(SUB):
-        parts = []
-        for blob in raw:
-            sizes = struct.unpack_from(f"<{SUB}q", blob)
-            at = 8 * SUB + sum(sizes[:sub])
-            if sizes[sub] > 8:
-                parts.append(blob[at : at + sizes[sub]])
-        if parts:
-            yield _part_ranges(parts, window)
+        for cell, part in _cells(blobs.pop()):
+            parts.setdefault(cell, []).append(part)
+    while parts:
+        yield _part_ranges(parts.popitem()[1], window)
 
 
 def _runs_of_unlike(w: _Words, members: np.ndarray, first: np.ndarray, sizes: np.ndarray, window: int) -> list[int]:
@@ -250,17 +246,6 @@ def _only(members: np.ndarray, first: np.ndarray, sizes: np.ndarray, keep: np.nd
     return members, np.cumsum(sizes) - sizes, sizes
 
 
-def _digest_ranges(blobs: list[bytes], window: int):
-    tables = [_unpack(b, _WINDOWS)[0] for b in blobs]
-    high, low, doc, text, start = (np.concatenate([t[name] for t in tables]) for name, _ in _WINDOWS)
-    order = np.lexsort((low, high))
-    high, low, doc, text, start = (c[order] for c in (high, low, doc, text, start))
-    first = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
-    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.concatenate([first, [len(doc)]])))
-    over = doc > least
-    return doc[over], text[over], start[over], start[over] + np.int32(window)
-
-
 def _part_ranges(parts: list[bytes], window: int):
     metas, texts, n_strings = [], [], 0
     for part in parts:
@@ -313,9 +298,30 @@ def _part_ranges(parts: list[bytes], window: int):
     return doc[place], text[place], (start[place] + offset).astype(np.int32), (start[place] + offset + length).astype(np.int32)
 
 
-def heavy_minimisers(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, heavy_strings: int = HEAVY_STRINGS) -> np.ndarray:
-    """Minimisers with more than ``heavy_strings`` distinct strings, counted batch by batch; fewer than one for every
-    ``heavy_strings`` strings, so the driver gets few."""
+class _Heavy:
+    """Minimisers of too many strings: sorted arrays in files of the shared folder."""
+
+    def __init__(self, uri: str, files: list[str]):
+        self.uri, self.files = uri, files
+
+    def has(self, minimisers: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(minimisers), bool)
+        for file in self.files:
+            held = _held(self.uri, file)
+            found |= held[np.minimum(np.searchsorted(held, minimisers), len(held) - 1)] == minimisers
+        return found
+
+
+@functools.lru_cache(maxsize=4096)
+def _held(uri: str, file: str) -> np.ndarray:
+    fs, path = filesystem(uri)
+    with fs.open_input_file(f"{path}/{file}") as f:
+        return np.frombuffer(f.read_buffer(), np.uint64)
+
+
+def heavy_minimisers(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, heavy_strings: int = HEAVY_STRINGS) -> _Heavy:
+    """Minimisers with more than ``heavy_strings`` distinct strings, counted batch by batch; the driver holds names of files."""
+    uri = shared_path(docs.sparkSession, "heavy")
 
     def count(batches):
         for batch in batches:
@@ -330,19 +336,32 @@ def heavy_minimisers(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, he
             minimiser, n = np.unique(all_pairs[new, 0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(minimiser.view(np.int64)), pa.array(n)], ["minimiser", "n"])
 
+    def save(batches):
+        held = [batch.column(0).to_numpy().view(np.uint64) for batch in batches]
+        if sum(map(len, held)):
+            fs, path = filesystem(uri)
+            fs.create_dir(path, recursive=True)
+            file = f"heavy-{uuid.uuid4().hex}"
+            with fs.open_output_stream(f"{path}/{file}", compression=None) as f:
+                f.write(np.sort(np.concatenate(held)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([file])], ["file"])
+
     texts = docs.where("text is not null").select(F.col("text").cast("binary").alias("text"))
     counts = arrow_map(texts, count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") > heavy_strings).select("minimiser").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    files = written(arrow_map(counts.where(F.col("n") > heavy_strings).select("minimiser"), save, "file string"), "heavy-files")
+    return _Heavy(uri, sorted(r["file"] for r in files.collect()))
 
 
-def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS) -> DataFrame:
+def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, fan_out: int = FAN_OUT) -> DataFrame:
     """(doc, text_hash, start, end): ranges of words covered by windows that a smaller doc_id also has."""
     mmer = min(mmer, window)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Packed strings come to about three times the text, the text to about twice its compressed columns.
     buckets = max(parts, -(-input_bytes(docs) * 6 // bucket_bytes))
+    rounds = -(-buckets // fan_out)
+    groups = -(-buckets // rounds)  # a group is ``rounds`` buckets
+    buckets = groups * rounds
     heavy = heavy_minimisers(docs, window, mmer, heavy_strings)
 
     def pack(batches):
@@ -351,13 +370,17 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
             base = part.column("here")[0].as_py() if base is None else base
             ids, hashes = part.column("doc").to_pylist(), part.column("text_hash").to_numpy().view(np.uint64).tolist()
             found = _SuperKmers(part.column("text").to_pylist(), window, mmer)
-            hot = np.isin(found.minimiser, heavy)
+            hot = heavy.has(found.minimiser)
             for i, start, begin, end, minimiser, single in zip(*(c.tolist() for c in (found.text, found.start, found.begin, found.end, found.minimiser, hot))):
                 if not single:
                     batch.add(ids[i], hashes[i], start, minimiser, found.packed(begin, end), end - begin)
                     continue
                 for k in range(begin, end - window + 1):
-                    batch.add(ids[i], hashes[i], start + k - begin, -1, xxhash.xxh3_128_digest(found.packed(k, k + window)), window)
+                    packed = found.packed(k, k + window)
+                    batch.add(ids[i], hashes[i], start + k - begin, xxhash.xxh3_64_intdigest(packed), packed, window)
+                    if batch.bytes >= FLUSH_BYTES:
+                        yield from flush(batch, base)
+                        batch = _Batch()
             if batch.bytes >= FLUSH_BYTES:
                 yield from flush(batch, base)
                 batch = _Batch()
@@ -365,11 +388,30 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
             yield from flush(batch, base)
 
     def flush(batch, base):
-        rows = list(batch.rows(buckets))
+        rows = list(batch.rows(groups, buckets * SUB))
         if batch.covered:
             rows.append((-1 - base % parts, _packed_columns(batch.ranges(), _RANGES)))
+        yield from dealt_out(rows)
+
+    def dealt_out(rows):
         for k in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[k : k + 64]], pa.int32()), pa.array([r[1] for r in rows[k : k + 64]], pa.binary())], ["bucket", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[k : k + 64]], pa.int64()), pa.array([r[1] for r in rows[k : k + 64]], pa.binary())], ["bucket", "blob"])
+
+    def regroup(batches):
+        """The second deal: parts of a group's blobs, put together for each bucket."""
+        held, size = {}, 0
+        for batch in batches:
+            for group, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if group < 0:
+                    yield from dealt_out([(group, blob)])
+                    continue
+                for cell, part in _cells(blob):
+                    held.setdefault(cell % buckets, []).append((cell, part))
+                    size += len(part)
+                if size >= FLUSH_BYTES:
+                    yield from dealt_out([(bucket, _blob(p)) for bucket, p in held.items()])
+                    held, size = {}, 0
+        yield from dealt_out([(bucket, _blob(p)) for bucket, p in held.items()])
 
     def merge(batches):
         at, blobs = None, []
@@ -393,12 +435,13 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, buck
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(text.view(np.int64)), pa.array(start), pa.array(end)], ["doc", "text_hash", "start", "end"])
 
     texts = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"), F.spark_partition_id().alias("here"))
-    packed = arrow_map(texts, pack, "bucket int, blob binary")
-    dealt = deal(packed, parts, "bucket").sortWithinPartitions("bucket")
-    return arrow_map(dealt, merge, "doc long, text_hash long, start int, end int")
+    dealt = deal(arrow_map(texts, pack, "bucket long, blob binary"), parts, "bucket")
+    if rounds > 1:
+        dealt = deal(arrow_map(dealt.sortWithinPartitions("bucket"), regroup, "bucket long, blob binary"), parts, "bucket")
+    return arrow_map(dealt.sortWithinPartitions("bucket"), merge, "doc long, text_hash long, start int, end int")
 
 
-def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, verbatim: bool = False) -> DataFrame:
+def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucket_bytes: int = BUCKET_BYTES, heavy_strings: int = HEAVY_STRINGS, fan_out: int = FAN_OUT, verbatim: bool = False) -> DataFrame:
     """(row, kept_text, n_words, n_removed): row holds the columns of ``docs`` but ``text``, whatever their names.
 
     kept_text is the kept words joined by single spaces; with ``verbatim``, texts that lose no word stay as they
@@ -406,7 +449,7 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, bucke
     """
     columns = [c for c in docs.columns if c != "text"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = covered_ranges(docs, window, mmer, bucket_bytes, heavy_strings)
+    ranges = covered_ranges(docs, window, mmer, bucket_bytes, heavy_strings, fan_out)
     row = F.struct(F.lit(True).alias("given"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]).alias("row")
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("text_hash"), F.lit(1).alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.col("text").cast("binary").alias("bytes"), row)
     kind = base.schema["row"].dataType

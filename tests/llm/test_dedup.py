@@ -154,9 +154,9 @@ def brute_removed(rows, window):
 
 
 def test_substrings(docs, rows):
-    for window, bucket_bytes, heavy in ((50, 40 << 20, 8192), (7, 2000, 8192), (50, 2000, 0), (7, 2000, 2)):
+    for window, bucket_bytes, heavy, fan_out in ((50, 40 << 20, 8192, 8192), (7, 2000, 8192, 8192), (50, 2000, 0, 8192), (7, 2000, 2, 5)):
         words, kept = brute_removed(rows, window)
-        got = superkmer.drop_repeated(docs, window, bucket_bytes=bucket_bytes, heavy_strings=heavy)
+        got = superkmer.drop_repeated(docs, window, bucket_bytes=bucket_bytes, heavy_strings=heavy, fan_out=fan_out)
         want = Counter((r[0], len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for r, w, k in zip(rows, words, kept))
         assert Counter((r["row"]["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) for r in got.collect()) == want
         assert any(len(w) != len(k) for w, k in zip(words, kept))
@@ -179,6 +179,13 @@ def test_verbatim_and_columns(docs, rows, none):
     assert superkmer.drop_repeated(none).count() == 0
 
 
+def test_documents_without_id_are_dealt_evenly(spark):
+    rng = random.Random(2)
+    table = spark.createDataFrame([(None, " ".join(rng.choice("abcdefgh") for _ in range(60)) + f" {i}") for i in range(400)], "doc_id long, text string")
+    parts = superkmer.drop_repeated(table).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 400 and max(r["count"] for r in parts) < 300
+
+
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     """With all windows under one hash, words decide."""
     monkeypatch.setattr(superkmer, "_run_hashes", lambda h, width: np.zeros(max(len(h) - width + 1, 0), np.uint64))
@@ -188,6 +195,6 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
         found = superkmer._SuperKmers([t], 3, 2)
         for start, begin, end in zip(found.start.tolist(), found.begin.tolist(), found.end.tolist()):
             b.add(doc, doc, start, 0, found.packed(begin, end), end - begin)
-    blobs = [blob for b in batch for _, blob in b.rows(1)]
+    blobs = [blob for b in batch for _, blob in b.rows(1, 1)]
     found = [tuple(x.tolist() for x in part) for part in superkmer._bucket_ranges(blobs, 3)]
     assert found == [([2], [2], [1], [4])]
