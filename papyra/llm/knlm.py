@@ -4,15 +4,20 @@ Counting: each slice of text gives its distinct bigrams with counts, as packed a
 shuffle. A bucket adds them up, writes the bigrams seen ``min_count`` times or more as a sorted hash array in
 the shared folder, and sends on, for each word, its count, its number of distinct predecessors, and as a
 context its total and numbers of followers seen once, twice and more often. A second shuffle adds those up
-for each word and writes sorted hash arrays too. Discounts come from the counts of counts.
+for each word and writes sorted hash arrays too. Discounts come from the counts of counts. Counts are of
+64 bits, stored in as few bytes as the largest of a file needs.
 
 A bigram's bucket is that of its context, so a context's figures mostly arrive in one piece; contexts with
 more than a fraction of a bucket's share of all tokens (found by a pass over all tokens, at most 8 for
-each bucket) are dealt by the whole bigram. With ``min_count`` 1, as the query has it, every bigram is stored
-and has its own discount. Above that, bigrams under ``min_count`` are counted in every figure but not stored:
-their mass goes to the back-off weight of their context, so each distribution still sums to one.
+each bucket) are dealt by the whole bigram. There are at most ``FAN_OUT`` buckets, which bounds what the driver holds,
+the files and the blobs a slice makes. Beyond that, a bucket's bigrams are dealt once more, by ranges of their hashes, and added up
+and appended to its file range by range, so memory stays bounded; a file ends with the places of its pieces.
 
-Scoring: workers map the files and search them for the distinct words and bigrams of a slice.
+With ``min_count`` 1, as the query has it, every bigram is stored and has its own discount. Above that, bigrams under ``min_count``
+are counted in every figure but not stored: their mass goes to the back-off weight of their context, so each
+distribution still sums to one.
+
+Scoring: workers map the files and search them for the distinct words and bigrams of a slice, in order.
 The order is two: see the README for the figures.
 
 Nulls and empties: a null text is empty and scores as one end token. A null doc_id is trained on. Repeated
@@ -38,11 +43,10 @@ from pyspark.sql import functions as F
 from papyra.llm.common import arrow_map, deal, filesystem, slices
 from papyra.shared import input_bytes, shared_path, written
 
-MIN_COUNT, SLICE_BYTES, BUCKET_GRAMS, HEAVY_SHARE = 2, 6 << 20, 2_000_000, 8
+MIN_COUNT, SLICE_BYTES, BUCKET_GRAMS, FAN_OUT, HEAVY_SHARE = 1, 6 << 20, 2_000_000, 4096, 8
 _END, _START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"\n", b"\r"))
 _C = np.uint64(0x9E3779B97F4A7C15)
-_GRAM = [("key", np.uint64), ("count", np.uint32)]
-_WORD = [("key", np.uint64), *((k, np.uint32) for k in ("count", "before", "total", "once", "twice", "more"))]
+_GRAM, _WORD = 2, 7  # columns: key and count; key, count, before, total, once, twice, more
 
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,19 +80,31 @@ def _grams_bucket(context, key, heavy: np.ndarray, buckets: int) -> np.ndarray:
     return (by % np.uint64(buckets)).astype(np.int64)
 
 
+def _narrow(column: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes as the largest needs."""
+    return column.astype(np.min_scalar_type(int(column.max())) if len(column) else np.uint8)
+
+
 def _pack(columns: list[np.ndarray]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<q", len(columns[0])) + b"".join(c.tobytes() for c in columns))
+    narrow = [_narrow(c) for c in columns]
+    head = struct.pack(f"<q{len(narrow)}B", len(columns[0]), *(c.itemsize for c in narrow))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(c.tobytes() for c in narrow))
 
 
-def _unpack(blob: bytes, kinds: list) -> list[np.ndarray]:
-    raw, at, out = zstandard.decompress(blob), 8, []
-    (n,) = struct.unpack_from("<q", raw)
-    for kind in kinds:
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += out[-1].nbytes
+def _arrays(raw, n: int, sizes, at: int) -> list[np.ndarray]:
+    out = []
+    for size in sizes:
+        out.append(np.frombuffer(raw, f"u{size}", n, at))
+        at += n * size
     return out
 
 
+def _unpack(blob: bytes, columns: int) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n, *sizes = struct.unpack_from(f"<q{columns}B", raw)
+    return _arrays(raw, n, sizes, 8 + columns)
+
+
 def _blobs(bucket: np.ndarray, columns: list[np.ndarray], kind: int):
     """(bucket, kind, blob) rows; columns are in the order that blobs should keep within a bucket."""
     order = np.argsort(bucket, kind="stable")
@@ -111,50 +127,66 @@ def _sums(key: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[
     return key[first], [np.add.reduceat(c[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for c in columns]
 
 
-def _save(uri: str, name: str, columns: list[np.ndarray]) -> str:
-    fs, path = filesystem(uri)
-    fs.create_dir(path, recursive=True)
-    file = f"{name}-{uuid.uuid4().hex}.bin"
-    with fs.open_output_stream(f"{path}/{file}") as f:
-        for c in columns:
-            f.write(np.ascontiguousarray(c).tobytes())
-    return file
+class _File:
+    """A bucket's file: pieces of sorted arrays, one after another, and at the end their places, lengths and widths."""
+
+    def __init__(self, uri: str, name: str):
+        fs, path = filesystem(uri)
+        fs.create_dir(path, recursive=True)
+        self.name, self.at, self.pieces = f"{name}-{uuid.uuid4().hex}.bin", 0, []
+        self.out = fs.open_output_stream(f"{path}/{self.name}", compression=None)
 
+    def add(self, piece: int, columns: list[np.ndarray]) -> None:
+        narrow = [columns[0], *(_narrow(c) for c in columns[1:])]
+        self.pieces.append((piece, self.at, len(columns[0]), *(c.itemsize for c in narrow)))
+        for c in narrow:
+            self.out.write(np.ascontiguousarray(c).tobytes())
+            self.at += c.nbytes
 
-@functools.lru_cache(maxsize=4096)
-def _mapped(uri: str, file: str, n: int, word: bool) -> list[np.ndarray]:
-    """The arrays of a file: mapped where the shared folder is mounted, read whole from other stores."""
+    def close(self) -> str:
+        table = np.array(self.pieces, np.int64)
+        self.out.write(table.tobytes() + struct.pack("<qq", *table.shape))
+        self.out.close()
+        return self.name
+
+
+@functools.lru_cache(maxsize=FAN_OUT)
+def _mapped(uri: str, file: str) -> dict[int, list[np.ndarray]]:
+    """The pieces of a file: mapped where the shared folder is mounted, read whole from other stores."""
     fs, path = filesystem(uri)
-    if n == 0:
-        raw = b""
-    elif fs.type_name == "local":
+    if fs.type_name == "local":
         with open(f"{path}/{file}", "rb") as f:
             raw = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)
     else:
         with fs.open_input_file(f"{path}/{file}") as f:
             raw = f.read_buffer()
-    out, at = [], 0
-    for _, kind in _WORD if word else _GRAM:
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += out[-1].nbytes
-    return out
+    rows, columns = struct.unpack_from("<qq", raw, len(raw) - 16)
+    table = np.frombuffer(raw, np.int64, rows * columns, len(raw) - 16 - 8 * rows * columns).reshape(rows, columns)
+    return {piece: _arrays(raw, n, sizes, at) for piece, at, n, *sizes in table.tolist()}
+
 
+def _piece(key: np.ndarray, pieces: int) -> np.ndarray:
+    """The range of hashes, of so many, that a key is in; in the order of the keys."""
+    return ((key >> np.uint64(40)) * np.uint64(pieces) >> np.uint64(24)).astype(np.int64)
 
-def _lookup(uri: str, files: dict[int, tuple[str, int]], word: bool, bucket: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+
+def _lookup(uri: str, files: dict[int, str], columns: int, pieces: int, bucket: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
     """For distinct keys: the stored figures, 0 where there are none."""
-    found = [np.zeros(len(key), np.int64) for _ in (_WORD if word else _GRAM)[1:]]
+    found = [np.zeros(len(key), np.int64) for _ in range(columns - 1)]
     order = np.lexsort((key, bucket))
-    sorted_bucket = bucket[order]
-    cuts = np.flatnonzero(np.diff(sorted_bucket)) + 1
+    place = bucket[order] * pieces + _piece(key[order], pieces)
+    cuts = np.flatnonzero(np.diff(place)) + 1
     for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)]):
-        if s == e or int(sorted_bucket[s]) not in files:
+        if s == e or int(place[s]) // pieces not in files:
+            continue
+        held = _mapped(uri, files[int(place[s]) // pieces]).get(int(place[s]) % pieces)
+        if held is None or not len(held[0]):
             continue
-        columns = _mapped(uri, *files[int(sorted_bucket[s])], word)
         rows = order[s:e]
-        at = np.searchsorted(columns[0], key[rows])
-        at[at == len(columns[0])] = 0
-        hit = columns[0][at] == key[rows] if len(columns[0]) else np.zeros(len(rows), bool)
-        for out, column in zip(found, columns[1:]):
+        at = np.searchsorted(held[0], key[rows])
+        at[at == len(held[0])] = 0
+        hit = held[0][at] == key[rows]
+        for out, column in zip(found, held[1:]):
             out[rows[hit]] = column[at[hit]]
     return found
 
@@ -171,10 +203,9 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 class Model:
     """Places and figures of a fitted model; small, and sent with the tasks."""
 
-    def __init__(self, uri: str, buckets: int, heavy: np.ndarray, rows: list, min_count: int):
-        self.uri, self.buckets, self.heavy, self.min_count = uri, buckets, heavy, min_count
-        self.grams = {r["bucket"]: (r["file"], r["n"]) for r in rows if r["kind"] == 0}
-        self.words = {r["bucket"]: (r["file"], r["n"]) for r in rows if r["kind"] == 1}
+    def __init__(self, uri: str, buckets: int, pieces: int, heavy: np.ndarray, rows: list, min_count: int):
+        self.uri, self.buckets, self.pieces, self.heavy, self.min_count = uri, buckets, pieces, heavy, min_count
+        self.grams, self.words = ({r["bucket"]: r["file"] for r in rows if r["kind"] == kind} for kind in (0, 1))
         of = lambda kind, k: sum(r[k] for r in rows if r["kind"] == kind)
         self.d_gram, self.d_word = (_discounts([of(kind, f"n{k}") for k in (1, 2, 3, 4)]) for kind in (0, 1))
         self.train_tokens, self.vocabulary, self.types = of(1, "tokens"), of(1, "types"), of(1, "before")
@@ -183,7 +214,7 @@ class Model:
 
     def word_figures(self, key: np.ndarray):
         """Count, unigram probability and, as contexts, total and back-off weight of distinct words."""
-        count, before, total, once, twice, more = _lookup(self.uri, self.words, True, (key % np.uint64(self.buckets)).astype(np.int64), key)
+        count, before, total, once, twice, more = _lookup(self.uri, self.words, _WORD, 1, (key % np.uint64(self.buckets)).astype(np.int64), key)
         d = np.array([0.0, *self.d_word])[np.minimum(before, 3)]
         low = (before - d) / max(self.types, 1) + self.rest / (self.vocabulary + 1)
         d1 = 1.0 if self.min_count > 1 else self.d_gram[0]
@@ -202,7 +233,7 @@ class Model:
         at = at[:-1]
         keys = gram_keys(words[context], toks)
         distinct, one, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        (seen,) = _lookup(self.uri, self.grams, False, _grams_bucket(words[context[one]], distinct, self.heavy, self.buckets), distinct)
+        (seen,) = _lookup(self.uri, self.grams, _GRAM, self.pieces, _grams_bucket(words[context[one]], distinct, self.heavy, self.buckets), distinct)
         c = seen[inverse]
         d = np.array([0.0, *self.d_gram])[np.minimum(c, 3)]
         p = (c - d) / np.maximum(total[context], 1) + back[context] * low[at]
@@ -230,11 +261,13 @@ def _heavy_contexts(texts: DataFrame, buckets: int) -> np.ndarray:
     return np.unique(np.concatenate([np.array([r[0] for r in rows], np.int64).view(np.uint64), starts]))
 
 
-def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_GRAMS) -> Model:
+def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_GRAMS, fan_out: int = FAN_OUT) -> Model:
     """Count ``docs`` (doc_id, text) and write the model to the shared folder."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, -(-input_bytes(docs) // bucket_grams))
+    cells = max(parts, -(-input_bytes(docs) // bucket_grams))
+    pieces = -(-cells // fan_out)
+    buckets = -(-cells // pieces)
     texts = docs.select(F.col("text").cast("binary").alias("text"))
     heavy = _heavy_contexts(texts, buckets)
     uri = shared_path(spark, "lm-model")
@@ -246,42 +279,67 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
             keys, one, n = np.unique(gram_keys(before, toks), return_index=True, return_counts=True)
             c, w = before[one], toks[one]
             order = np.lexsort((w, c))
-            rows = list(_blobs(_grams_bucket(c, keys, heavy, buckets)[order], [c[order], w[order], n[order].astype(np.uint32)], 0))
-            for k in range(0, len(rows), 256):
-                yield _batch(rows[k : k + 256])
+            yield from batched(_blobs(_grams_bucket(c, keys, heavy, buckets)[order], [c[order], w[order], n[order]], 0))
 
-    def add(batches):
-        at, blobs = None, []
+    def batched(rows):
+        rows = list(rows)
+        for k in range(0, len(rows), 256):
+            yield _batch(rows[k : k + 256])
+
+    def regroup(batches):
+        """The second deal: a bucket's bigrams, put together by their ranges of hashes."""
+        for bucket, blobs in gathered(batches):
+            c, w, n = (np.concatenate(x) for x in zip(*(_unpack(b, 3) for b in blobs)))
+            piece = _piece(gram_keys(c, w), pieces)
+            yield from batched((bucket, p, blob) for p, _, blob in _blobs(piece, [c, w, n], 0))
+
+    def gathered(batches, most: int = 64 << 20):
+        """(bucket, blobs), in several turns where a bucket holds more than ``most`` packed bytes."""
+        at, blobs, size = None, [], 0
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                if bucket != at and blobs:
-                    yield from total(at, blobs)
-                    blobs = []
-                at = bucket
+                if blobs and (bucket != at or size + len(blob) > most):
+                    yield at, blobs
+                    blobs, size = [], 0
+                at, size = bucket, size + len(blob)
                 blobs.append(blob)
         if blobs:
-            yield from total(at, blobs)
+            yield at, blobs
+
+    def add(batches):
+        """Rows in order of bucket and piece: a piece is added up in memory and appended to its bucket's file."""
+        at, blobs, file, figures = None, [], None, None
+        for batch in batches:
+            for bucket, piece, blob in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if at is not None and at != (bucket, piece):
+                    yield from total(*at, blobs, file, figures)
+                    blobs = []
+                if file is None or at[0] != bucket:
+                    if file is not None:
+                        yield closed(at[0], file, figures)
+                    file, figures = _File(uri, f"grams-{bucket}"), [0] * 5
+                at = (bucket, piece)
+                blobs.append(blob)
+        if file is not None:
+            yield from total(*at, blobs, file, figures)
+            yield closed(at[0], file, figures)
 
-    def total(bucket, blobs):
-        parts_ = [_unpack(b, [np.uint64, np.uint64, np.uint32]) for b in blobs]
-        c, w, n = (np.concatenate([p[k] for p in parts_]) for k in range(3))
-        del parts_
+    def closed(bucket, file, figures):
+        return _batch([(-1 - bucket, 0, json.dumps([bucket, file.close(), *figures, 0, 0, 0]).encode())])
+
+    def total(bucket, piece, blobs, file, figures):
+        c, w, n = (np.concatenate(x) for x in zip(*(_unpack(b, 3) for b in blobs)))
         key = gram_keys(c, w)
         order = np.argsort(key)
         key, c, w, n = key[order], c[order], w[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         key, c, w, n = key[first], c[first], w[first], np.add.reduceat(n.astype(np.int64), first)
         keep = n >= min_count
-        file = _save(uri, f"grams-{bucket}", [key[keep], n[keep].astype(np.uint32)])
-        figures = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-        rows = [(-1 - bucket, 0, json.dumps([bucket, file, int(keep.sum()), *figures, 0, 0, 0]).encode())]
-        ones = np.ones(len(n), np.int64)
-        k2, (cnt, bef) = _sums(w, [n, ones])
+        file.add(piece, [key[keep], n[keep]])
+        figures[:] = [a + b for a, b in zip(figures, [int(keep.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))])]
+        k2, (cnt, bef) = _sums(w, [n, np.ones(len(n), np.int64)])
         k1, (tot, s1, s2, s3) = _sums(c, [n, n == 1, n == 2, n > 2])
-        rows += _blobs((k2 % np.uint64(buckets)).astype(np.int64), [k2, cnt.astype(np.uint32), bef.astype(np.uint32)], 1)
-        rows += _blobs((k1 % np.uint64(buckets)).astype(np.int64), [k1, *(x.astype(np.uint32) for x in (tot, s1, s2, s3))], 2)
-        for k in range(0, len(rows), 256):
-            yield _batch(rows[k : k + 256])
+        yield from batched([*_blobs((k2 % np.uint64(buckets)).astype(np.int64), [k2, cnt, bef], 1), *_blobs((k1 % np.uint64(buckets)).astype(np.int64), [k1, tot, s1, s2, s3], 2)])
 
     def gather(batches):
         at, held = None, []
@@ -299,16 +357,16 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
             yield words(at, held)
 
     def words(bucket, held):
-        as_word = [_unpack(b, [np.uint64] + [np.uint32] * 2) for kind, b in held if kind == 1]
-        as_context = [_unpack(b, [np.uint64] + [np.uint32] * 4) for kind, b in held if kind == 2]
-        cat = lambda rows, k: np.concatenate([np.asarray(r[k]) for r in rows]) if rows else np.zeros(0, np.uint64)
-        keys = np.concatenate([cat(as_word, 0), cat(as_context, 0)]).astype(np.uint64)
+        as_word, as_context = ([_unpack(b, columns) for kind, b in held if kind == of] for of, columns in ((1, 3), (2, 5)))
+        cat = lambda rows, k: np.concatenate([np.asarray(r[k], np.uint64) for r in rows]) if rows else np.zeros(0, np.uint64)
+        keys = np.concatenate([cat(as_word, 0), cat(as_context, 0)])
         none_w, none_c = np.zeros(len(cat(as_word, 0)), np.int64), np.zeros(len(cat(as_context, 0)), np.int64)
-        columns = [np.concatenate([cat(as_word, k), none_c]) for k in (1, 2)] + [np.concatenate([none_w, cat(as_context, k)]) for k in (1, 2, 3, 4)]
+        columns = [np.concatenate([cat(as_word, k).astype(np.int64), none_c]) for k in (1, 2)] + [np.concatenate([none_w, cat(as_context, k).astype(np.int64)]) for k in (1, 2, 3, 4)]
         key, sums = _sums(keys, columns)
-        file = _save(uri, f"words-{bucket}", [key, *(x.astype(np.uint32) for x in sums)])
+        file = _File(uri, f"words-{bucket}")
+        file.add(0, [key, *sums])
         count_, before = sums[0], sums[1]
-        return manifest(1, bucket, file, len(key), *(int((before == k).sum()) for k in (1, 2, 3, 4)), int(count_.sum()), int((count_ > 0).sum()), int(before.sum()))
+        return manifest(1, bucket, file.close(), len(key), *(int((before == k).sum()) for k in (1, 2, 3, 4)), int(count_.sum()), int((count_ > 0).sum()), int(before.sum()))
 
     def manifest(kind, bucket, file, n, n1, n2, n3, n4, toks, types, before):
         names = ["kind", "bucket", "file", "n", "n1", "n2", "n3", "n4", "tokens", "types", "before"]
@@ -316,11 +374,12 @@ def fit(docs: DataFrame, min_count: int = MIN_COUNT, bucket_grams: int = BUCKET_
         return pa.RecordBatch.from_arrays([pa.array([v], pa.string() if k == "file" else pa.int32() if k in ("kind", "bucket") else pa.int64()) for k, v in zip(names, values)], names)
 
     schema = "bucket int, kind int, blob binary"
-    counted = deal(arrow_map(texts, count, schema), parts, "bucket").sortWithinPartitions("bucket")
-    added = arrow_map(counted, add, schema)
-    dealt = deal(added, parts, "bucket").sortWithinPartitions("bucket")
+    counted = deal(arrow_map(texts, count, schema), parts, "bucket").sortWithinPartitions("bucket", "kind")
+    if pieces > 1:
+        counted = deal(arrow_map(counted, regroup, schema), parts, "bucket").sortWithinPartitions("bucket", "kind")
+    dealt = deal(arrow_map(counted, add, schema), parts, "bucket").sortWithinPartitions("bucket")
     rows = written(arrow_map(dealt, gather, "kind int, bucket int, file string, n long, n1 long, n2 long, n3 long, n4 long, tokens long, types long, before long"), "lm-manifest")
-    return Model(uri, buckets, heavy, [r.asDict() for r in rows.collect()], min_count)
+    return Model(uri, buckets, pieces, heavy, [r.asDict() for r in rows.collect()], min_count)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

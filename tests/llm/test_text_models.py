@@ -53,7 +53,7 @@ def test_language_model(docs, rows, none):
     for context in ("START", b"wort", b"never seen"):
         assert math.isclose(sum(p(context, w) for w in counts) + p(context, b"\0"), 1)
     held_out = fold(F.col("doc_id"), 7) == 2
-    got = knlm.score(docs, knlm.fit(docs.where(~held_out), bucket_grams=200)).collect()
+    got = knlm.score(docs, knlm.fit(docs.where(~held_out), min_count=2, bucket_grams=200)).collect()
     want = {}
     for r in rows:
         t = toks(r[1])
@@ -89,6 +89,33 @@ def test_query_scores_bigrams_seen_once(docs, rows, tmp_path):
     assert len(got) == len(rows) and all(math.isclose(r["score"], want[r["doc_id"], r["n_tokens"]], rel_tol=1e-9) for r in got)
 
 
+def test_many_buckets_pieces_and_wide_counts(spark, docs, monkeypatch):
+    """10,000 buckets, and buckets of many pieces, give the scores of few; counts over 2^32 are kept."""
+    score = lambda **how: {(r["doc_id"], r["n_tokens"], r["n_known"], round(r["score"], 6)) for r in knlm.score(docs, knlm.fit(docs, **how)).collect()}
+    plain = score()
+    assert score(bucket_grams=30, fan_out=10_000) == plain and score(bucket_grams=30, fan_out=3) == plain
+    blob = knlm._pack([np.array([3, 2**33 + 1], np.uint64), np.array([2**63, 1], np.uint64), np.array([1, 1])])
+    assert [c.tolist() for c in knlm._unpack(blob, 3)] == [[3, 2**33 + 1], [2**63, 1], [1, 1]] and knlm._unpack(blob, 3)[2].itemsize == 1
+    # A slice in which every bigram stands 2^33 times as often: the packed rows of the first shuffle, counted up and looked up.
+    pack = knlm._blobs
+
+    def often(bucket, columns, kind):
+        return pack(bucket, [*columns[:2], columns[2] * 2**33] if kind == 0 else columns, kind)
+
+    monkeypatch.setattr(knlm, "_blobs", often)
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(knlm)
+    try:
+        model = knlm.fit(spark.createDataFrame([(1, "a b a b c"), (2, "a b")], "doc_id long, text string").coalesce(1))
+    finally:
+        cloudpickle.unregister_pickle_by_value(knlm)
+    key = np.array([int.from_bytes(knlm.xxhash.xxh3_64_digest(w), "big") for w in (b"a", b"b", b"c")], np.uint64)
+    order = np.argsort(key)
+    count, _, total, _ = model.word_figures(key[order])
+    assert dict(zip(order.tolist(), count.tolist())) == {0: 3 * 2**33, 1: 3 * 2**33, 2: 2**33} and model.train_tokens == 9 * 2**33 and total.max() == 3 * 2**33
+
+
 def distance(pattern, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
