@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import time
 from collections import Counter
@@ -39,6 +40,7 @@ def test_round_trip(spark, given):
         seen |= {h} if low[h] == i else set()
         want[i, len(h), base64.b32encode(hashlib.sha1(h).digest()).decode(), "response" if first else "revisit", None if first else low[h]] += 1
     assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
+    assert Counter((r["page_id"], r["url"]) for r in got) == Counter((r[0], r[1]) for r in given)  # blanks and line ends too
     assert all((r["payload"] is None) == (r["record_type"] == "revisit") for r in got)
     assert sum(m["records"] for m in manifest) == len(given) and len(manifest) > 5
     path = uri.removeprefix("file://")
@@ -51,6 +53,60 @@ def test_round_trip(spark, given):
     assert {(m["file"], m["sha256"]) for m in other} == {(m["file"], m["sha256"]) for m in manifest}
 
 
+def test_shards_are_cut_by_bytes(spark):
+    pages = [(i, f"u{i}", ("x" if i % 50 else "y" * 200_000) + str(i)) for i in range(400)] + [(None, f"n{i}", "z" * 3000 + str(i)) for i in range(100)]
+    uri = shared_path(spark, "t")
+    manifest = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), uri, shard_payload=150_000).collect()
+    sizes = {}
+    with_bytes = {r[0]: len(r[2]) for r in pages}
+    for r in warc.read_archives(spark, uri).collect():
+        sizes[r["page_id"]] = r["payload_bytes"]
+    assert len(sizes) == 401 and sizes[50] == with_bytes[50]
+    assert len({m["shard"] for m in manifest}) > 8 and max(m["records"] for m in manifest) < 260
+
+
+def test_a_stopped_run_is_run_again(spark, given, monkeypatch):
+    pages = spark.createDataFrame(given, SCHEMA)
+    uri = shared_path(spark, "t")
+    path = uri.removeprefix("file://")
+    with monkeypatch.context() as m:
+        real = warc.arrow_map
+        calls = []
+
+        def stop(df, fn, schema):
+            calls.append(fn.__name__)
+            if fn.__name__ == "commit":
+                raise RuntimeError("stopped before the commit")
+            return real(df, fn, schema)
+
+        m.setattr(warc, "arrow_map", stop)
+        with pytest.raises(RuntimeError):
+            warc.write_archives(pages, uri, shard_payload=2000)
+    assert os.path.isdir(f"{path}/_temporary") and not os.path.isdir(f"{path}/manifest")
+    with open(f"{path}/part-000999-0000.warc.gz", "wb") as f:
+        f.write(b"left by an earlier run")
+    with open(f"{path}/notes.txt", "w") as f:
+        f.write("not ours")
+    first = {(m["file"], m["sha256"]) for m in warc.write_archives(pages, uri, shard_payload=4000).collect()}
+    assert not os.path.isdir(f"{path}/_temporary") and os.path.exists(f"{path}/notes.txt")
+    assert {f for f in os.listdir(path) if f.endswith(".gz")} == {f for f, _ in first}
+    assert warc.read_archives(spark, uri).count() == len(given)
+    again = {(m["file"], m["sha256"]) for m in warc.write_archives(pages, uri, shard_payload=4000).collect()}
+    assert again == first
+
+
+def test_renames_may_be_repeated(tmp_path):
+    fs, path = warc.filesystem(str(tmp_path))
+    (tmp_path / "a").write_bytes(b"1")
+    warc._rename(fs, f"{path}/a", f"{path}/b")
+    warc._rename(fs, f"{path}/a", f"{path}/b")  # the task is tried again
+    (tmp_path / "a").write_bytes(b"2")
+    warc._rename(fs, f"{path}/a", f"{path}/b")
+    assert (tmp_path / "b").read_bytes() == b"2" and not (tmp_path / "a").exists()
+    with pytest.raises(FileNotFoundError):
+        warc._rename(fs, f"{path}/a", f"{path}/c")
+
+
 def test_small_payloads_are_not_revisited(spark):
     pages = spark.createDataFrame([(1, "a", "xx"), (2, "b", "xx"), (3, "c", "yyyyyy"), (4, "d", "yyyyyy")], "page_id long, url string, html string")
     got = {r["page_id"]: r["record_type"] for r in warc.round_trip(pages, min_revisit=3).collect()}
