@@ -56,26 +56,32 @@ def build(spark: SparkSession, a) -> None:
 
 
 def _questions(spark: SparkSession, a) -> DataFrame:
-    return generate.limited(io.read_qa(spark, {a.set: a.questions}, a.set), a.limit)
+    return generate.limited(io.read_qa(spark, {a.set: a.questions}, a.set), a.limit, "place")
 
 
 def _ready(spark: SparkSession, a) -> index.Index:
-    problems = [r["problem"] for r in io.preflight(spark, a.mode, f"{a.out}/chunks", f"{a.out}/index", f"{a.out}/chunks").collect()]
+    problems = [r["problem"] for r in io.preflight(spark, a.mode, f"{a.out}/vectors", f"{a.out}/index", f"{a.out}/chunks").collect()]
     if problems:
         sys.exit("\n".join(["not ready:", *(f"- {p}" for p in problems)]))
     return index.load_or_build(spark, f"{a.out}/index", _chunks(spark, a).select("id", "text"))
 
 
+def _models(spark: SparkSession, a) -> retrieve.Models:
+    """The vector store that the step ``vectors`` wrote, with the stand-in embedder; reranking is by coverage."""
+    return retrieve.Models(io.open_vectors(spark, f"{a.out}/vectors"), HashEmbedder(a.dim))
+
+
 def ask(spark: SparkSession, a) -> None:
     asked = _questions(spark, a)
-    found = rag.answer(_ready(spark, a), _chunks(spark, a), asked.select("qid", F.col("question").alias("text")), ExtractiveGenerator(), a.mode, a.k, a.threshold)
+    ready = _ready(spark, a)
+    found = rag.answer(ready, _chunks(spark, a), asked.select("qid", F.col("question").alias("text")), ExtractiveGenerator(), a.mode, a.k, a.threshold, _models(spark, a))
     known = asked.select("qid", "set", F.col("answer").alias("gold_answer"), "answerable", "sources")
     io.write_records(found.join(known, "qid"), f"{a.out}/answers-{a.mode}")
 
 
 def snapshots(spark: SparkSession, a) -> None:
     asked, ix, made = _questions(spark, a), _ready(spark, a), _chunks(spark, a)
-    found = retrieve.routes(ix, asked.select("qid", F.col("question").alias("text")), a.k)
+    found = retrieve.routes(ix, asked.select("qid", F.col("question").alias("text")), a.k, _models(spark, a), "".join(ROUTES.values()))
     for name, letter in ROUTES.items():
         hits = rag.with_passages(found[letter], made)
         io.write_records(evaluate.snapshot(asked, hits, name, a.k), f"{a.out}/snapshot-{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,9 +49,16 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), strip), lambda s: s != "")
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case runs of a-z and 0-9, and single ideographs."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+def tokens(text: Column, segment=None) -> Column:
+    """Lower-case runs of a-z and 0-9, and single ideographs; with ``segment``, a function from a lower-case text to a list of
+    words, those of its words that aren't blank (in Arrow batches)."""
+    if segment is None:
+        return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [w for w in segment(t or "") if w.strip()])
+
+    return cut(F.lower(text))
 
 
 def is_ascii_edge(text: Column, last: bool) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from papyra.functions.text import ORDER_NUMBER, is_ascii_edge, join_lines, strip
 from papyra.schemas import BLOCK
+from papyra.shared import ship
 
 # Distances in points, ratios and lengths of the layout rules.
 PARA_GAP = 1.6
@@ -238,4 +239,5 @@ def page_blocks(lines: DataFrame, tables: DataFrame) -> DataFrame:
         out = pd.DataFrame(blocks_of_document(given), columns=["kind", "text", "level", "rows", "page"])
         return out.assign(doc=pdf["doc"].iloc[0], block_idx=range(len(out)))[["doc", "block_idx", "kind", "text", "level", "rows", "page"]]
 
+    ship(lines.sparkSession)
     return pages.groupBy("doc").applyInPandas(fold, BLOCK)

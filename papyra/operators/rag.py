@@ -17,10 +17,15 @@ def with_passages(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     return hits.select("qid", "rank", "id", "score").join(meta, "id").select("qid", "rank", "id", "score", "text", "doc", "section_path", "start_page", "end_page")
 
 
-def answer(index: Index, chunks: DataFrame, queries: DataFrame, generator: Generator, mode: str = "hybrid_rerank", k: int = 5, threshold: float | None = None) -> DataFrame:
+def answer(index: Index, chunks: DataFrame, queries: DataFrame, generator: Generator, mode: str = "hybrid_rerank", k: int = 5, threshold: float | None = None, models: retrieve.Models | None = None) -> DataFrame:
     """Answer rows for queries (qid, text): top1, topk, rejected, answer, citations (numbers; null if rejected) and error."""
+    hits = written(with_passages(retrieve.search_route(mode, index, queries, k, models), chunks), "hits")
+    return answered(queries, hits, generator, mode, threshold)
+
+
+def answered(queries: DataFrame, hits: DataFrame, generator: Generator, mode: str = "hybrid_rerank", threshold: float | None = None) -> DataFrame:
+    """``answer`` from hits with their passages (M9)."""
     limit = generate.MIN_SCORE.get(mode, generate.MIN_SCORE["hybrid_rerank"]) if threshold is None else threshold
-    hits = written(with_passages(retrieve.search_route(mode, index, queries, k), chunks), "hits")
     yes, no = generate.split_by_threshold(queries, hits, limit)
     asked = yes.join(generate.contexts(hits), "qid").select("qid", generate.messages(F.col("text"), F.col("context")).alias("messages"))
     replies = written(generate_table(asked, generator), "replies")

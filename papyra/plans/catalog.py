@@ -266,12 +266,13 @@ def route_compare(spark, sf_dir):
 
 @query(
     f"WITH {_BM25} SELECT item_id AS qid, 'missing' AS problem FROM benchmark WHERE item_id NOT IN (SELECT qid FROM bm25r WHERE rank <= 5 AND score > 0) "
-    "UNION ALL SELECT DISTINCT qid, 'unknown' FROM bm25r WHERE rank <= 5 AND score > 0 AND qid NOT IN (SELECT item_id FROM benchmark WHERE item_id % 2 = 0)"
+    "UNION ALL SELECT DISTINCT qid, 'unknown' FROM bm25r WHERE rank <= 5 AND score > 0 AND qid NOT IN (SELECT item_id FROM benchmark b JOIN documents d ON contains(d.text, b.text))"
 )
 def snapshot_anti(spark, sf_dir):
-    asked, answered = _questions(spark, sf_dir), _bm25_hits(spark, sf_dir).select("qid").distinct()
-    missing = evaluate.reconcile(asked, answered).where("problem = 'missing'")
-    return missing.unionByName(evaluate.reconcile(asked.where("qid % 2 = 0"), answered).where("problem = 'unknown'"))
+    """Questions without an answer, and answers to questions that no document holds."""
+    answered = _bm25_hits(spark, sf_dir).select("qid").distinct()
+    missing = evaluate.reconcile(_questions(spark, sf_dir), answered).where("problem = 'missing'")
+    return missing.unionByName(evaluate.reconcile(_qa(spark, sf_dir).where("answerable"), answered).where("problem = 'unknown'"))
 
 
 # ---- text, blocks, chunks -----------------------------------------------------------------------------------------
@@ -527,10 +528,10 @@ def para_merge(spark, sf_dir):
     return paras.groupBy("doc", F.col("page").cast("long").alias("page"), "para").agg(F.count("*").alias("lines"), F.sum(F.length("text")).cast("long").alias("chars"))
 
 
-@query(f"WITH {_LAYOUT} SELECT doc, line_no::BIGINT AS line_no FROM lay WHERE x0 >= 0 AND x1 <= 300 AND y0 >= 100 AND y1 <= 300 AND page % 2 = 1")
+@query(f"WITH {_LAYOUT} SELECT doc, line_no::BIGINT AS line_no FROM lay WHERE x0 >= 0 AND x1 <= 300 AND y0 >= 100 AND y1 <= 300")
 def rect_contain(spark, sf_dir):
     lines = _layout(spark, sf_dir)
-    tables = lines.where("page % 2 = 1").select("doc", "page").distinct().select("doc", "page", *[F.lit(v).alias(c) for c, v in (("x0", 0.0), ("y0", 100.0), ("x1", 300.0), ("y1", 300.0))])
+    tables = lines.select("doc", "page").distinct().select("doc", "page", *[F.lit(v).alias(c) for c, v in (("x0", 0.0), ("y0", 100.0), ("x1", 300.0), ("y1", 300.0))])
     return layout.inside_tables(lines, tables).select("doc", F.col("line_no").cast("long").alias("line_no"))
 
 

@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from papyra.shared import ship
+
 MAX_BATCH, DEFAULT_BATCH, TOP_N = 10, 8, 20
 _TOKEN = r"[a-z0-9]+|[一-鿿]"
 
@@ -101,6 +103,20 @@ def retried(call: Callable, tries: int = 4, pause: Callable[[int], float] = lamb
             sleep(pause(n))
 
 
+class ProviderError(Exception):
+    """A provider's refusal, with the status of its reply."""
+
+    def __init__(self, status: int, message: str = ""):
+        super().__init__(f"status {status}: {message}" if message else f"status {status}")
+        self.status = status
+
+
+def is_final(e: Exception) -> bool:
+    """Whether trying again is of no use: statuses 400 to 499 but 429. Network errors and 5xx are worth another try."""
+    status = getattr(e, "status", None)
+    return isinstance(status, int) and 400 <= status < 500 and status != 429
+
+
 def batch_size(asked: int = DEFAULT_BATCH) -> int:
     return min(max(asked, 1), MAX_BATCH)
 
@@ -117,6 +133,7 @@ def embed_table(rows: DataFrame, embedder: Embedder, size: int = DEFAULT_BATCH)
                 vectors += retried(lambda texts=texts: embedder.embed(texts))
             yield pd.DataFrame({"id": pdf["id"], "embedding": vectors})
 
+    ship(rows.sparkSession)
     return rows.select("id", "text").mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, embedding array<float>")
 
 
@@ -135,22 +152,25 @@ def rerank_table(candidates: DataFrame, reranker: Reranker, k: int) -> DataFrame
         return pd.DataFrame({"qid": pdf["qid"].iloc[0], "id": [pdf["id"][i] for i, _ in best], "score": [float(s) for _, s in best], "rank": range(1, len(best) + 1)})
 
     s = candidates.schema
+    ship(candidates.sparkSession)
     return candidates.groupBy("qid").applyInPandas(run, f"qid {s['qid'].dataType.simpleString()}, id {s['id'].dataType.simpleString()}, score double, rank int")
 
 
 def generate_table(rows: DataFrame, generator: Generator, pause: Callable[[int], float] = lambda n: 2.0 * 2**n) -> DataFrame:
-    """(qid, answer, error) from (qid, messages); a failing call gives its error and an empty answer."""
+    """(qid, answer, error) from (qid, messages); a failing call gives its error and an empty answer. Refusals for good aren't
+    tried again."""
 
     def run(frames: Iterator[pd.DataFrame]):
         for pdf in frames:
             out = []
             for qid, given in zip(pdf["qid"], pdf["messages"]):
                 try:
-                    out.append((qid, retried(lambda given=given: generator.answer([dict(m) for m in given]), pause=pause), None))
+                    out.append((qid, retried(lambda given=given: generator.answer([dict(m) for m in given]), pause=pause, final=is_final), None))
                 except Exception as e:
                     out.append((qid, "", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["qid", "answer", "error"])
 
+    ship(rows.sparkSession)
     return rows.select("qid", "messages").mapInPandas(run, f"qid {rows.schema['qid'].dataType.simpleString()}, answer string, error string")
 
 
@@ -167,9 +187,19 @@ def judge_table(rows: DataFrame, judge: Judge) -> DataFrame:
                     out.append(None)
             yield pd.DataFrame({"qid": pdf["qid"], "raw": out})
 
+    ship(rows.sparkSession)
     return rows.select("qid", "prompt").mapInPandas(run, f"qid {rows.schema['qid'].dataType.simpleString()}, raw string")
 
 
+class LetterEmbedder:
+    """How often each of the letters a to z stands in a text."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        if not texts:
+            raise ValueError("no texts to embed")
+        return [[float(t.count(chr(97 + k))) for k in range(26)] for t in texts]
+
+
 def load_env(path: str) -> dict[str, str]:
     """KEY=VALUE lines of a file, quotes stripped, comments skipped; what the environment has already stays. Returns what was set."""
     fresh = {}

@@ -70,6 +70,19 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filesystem(uri: str):
+    """(pyarrow filesystem, path) of a URI, for workers that read or write files of the shared folder; a path without a scheme is local."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store Spark reaches it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def input_bytes(df: DataFrame, column: str = "text") -> int:
     """Catalyst's estimate of the bytes of ``df``; where it has none (or no sensible one), ``column`` is measured."""
     from pyspark.sql import functions as F

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra import schemas
+from papyra.shared import exists, ship
 
 QA_SETS = ("simple", "complex")
 
@@ -32,13 +33,15 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_qa(spark: SparkSession, paths: dict[str, str], sets: str = "all") -> DataFrame:
-    """QA records of JSON arrays, by set; a trailing .pdf is taken off the sources, missing lists are empty."""
+    """QA records of JSON arrays, by set; a trailing .pdf is taken off the sources, missing lists are empty. ``place`` is a record's
+    place: within its file, files in order."""
     wanted = QA_SETS if sets == "all" else (sets,)
     tables = []
     for name in wanted:
         if name in paths:
             t = spark.read.schema(schemas.QA).option("multiLine", True).json(paths[name])
-            tables.append(t.withColumn("set", F.lit(name)))
+            # An array is read by one task, so the numbers within a file are dense.
+            tables.append(t.withColumns({"set": F.lit(name), "place": F.monotonically_increasing_id() + (len(tables) << 52)}))
     if not tables:
         raise FileNotFoundError(f"no QA file for {sets}: {paths}")
     every = tables[0]
@@ -46,13 +49,15 @@ def read_qa(spark: SparkSession, paths: dict[str, str], sets: str = "all") -> Da
         every = every.unionByName(t)
     none = F.array().cast("array<string>")
     bare = F.transform(F.coalesce("sources", none), lambda s: F.regexp_replace(s, r"(?i)\.pdf$", ""))
-    return every.select(F.col("id").alias("qid"), "set", "question", "answer", bare.alias("sources"), F.coalesce("evidence", none).alias("evidence"), F.coalesce("answerable", F.lit(True)).alias("answerable"))
+    return every.select(F.col("id").alias("qid"), "set", "question", "answer", bare.alias("sources"), F.coalesce("evidence", none).alias("evidence"), F.coalesce("answerable", F.lit(True)).alias("answerable"), "place")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Snapshot rows, one per question: the last written of repeats."""
-    rows = spark.read.schema(schemas.SNAPSHOT).json(path).where("qid is not null").withColumn("_n", F.monotonically_increasing_id())
-    return rows.groupBy("qid").agg(F.max_by(F.struct("set", "answerable", "route", "k", "hits"), "_n").alias("r")).select("qid", "r.*")
+    """Snapshot rows, one per question: the last of repeats, files in order of their names."""
+    rows = spark.read.schema(schemas.SNAPSHOT).json(path).where("qid is not null")
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    rows = rows.select(F.struct("set", "answerable", "route", "k", "hits").alias("r"), "qid", place.alias("place"))
+    return rows.groupBy("qid").agg(F.max_by("r", "place").alias("r")).select("qid", "r.*")
 
 
 def write_vectors(rows: DataFrame, path: str) -> None:
@@ -88,8 +93,7 @@ def render_markdown(blocks: DataFrame) -> DataFrame:
 
 def preflight(spark: SparkSession, mode: str, vectors: str, index: str | None = None, chunks: str | None = None, key_ready: bool = True) -> DataFrame:
     """(problem): what is missing for a route. A hybrid route needs an index or chunks to build one from."""
-    fs = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration())
-    there = lambda p: p is not None and fs(p).exists(spark._jvm.org.apache.hadoop.fs.Path(p))
+    there = lambda p: p is not None and exists(spark, p)
     problems = [] if key_ready else ["no provider key: set it in the environment or an env file"]
     if not there(vectors):
         problems.append(f"no vector store at {vectors}: write one first")
@@ -129,4 +133,5 @@ def pdf_layout(files: DataFrame) -> DataFrame:
                         rows.append((os.path.basename(path), page_no, n, spans, *map(float, line["bbox"])))
             yield pd.DataFrame(rows, columns=["doc", "page", "line_no", "spans", "x0", "y0", "x1", "y1"])
 
+    ship(files.sparkSession)
     return files.mapInPandas(run, "doc string, page int, line_no int, spans array<struct<text: string, size: double, flags: int>>, x0 double, y0 double, x1 double, y1 double")

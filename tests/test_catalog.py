@@ -6,10 +6,10 @@ import os
 import pytest
 
 import __spark_entry__
-from papyra.plans import catalog
+from papyra.plans import catalog, records  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels embeddings conversations".split()
+TABLES = "documents pages benchmark labels embeddings conversations region nation".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
 
 

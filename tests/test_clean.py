@@ -10,16 +10,16 @@ def blocks(spark, texts, kind="para"):
 
 @pytest.mark.parametrize(
     ("texts", "kept"),
-    [(["正文", "冒险者协会", "往期推荐", "更多"], 2), (["1、修复了某个问题。冒险者协会", "推荐"], 1), (["冒险者协会将在本周", "后文"], 2), (["冒险者协会", "x", "冒险者协会", "y"], 3), (["a", "b"], 2), (["a", "冒险者协会"], 2)],
+    [(["水位表", "冒险者协会", "看别的", "订阅"], 2), (["河堤已经修好。冒险者协会", "别的"], 1), (["冒险者协会明天开门", "表"], 2), (["冒险者协会", "x", "冒险者协会", "y"], 3), (["a", "b"], 2), (["a", "冒险者协会"], 2)],
 )
 def test_truncate_tail(spark, texts, kept):
     assert [r["text"] for r in clean.truncate_tail(blocks(spark, texts)).orderBy("block_idx").collect()] == texts[:kept]
 
 
 def test_clean_blocks(spark):
-    rows = [("d", 0, "heading", " 标题 ", 1, [], 1), ("d", 1, "para", "45", 1, [], 1), ("d", 2, "para", "", 1, [], 1), ("d", 3, "table", "", 1, [[" a ", None], ["", " "]], 1), ("d", 4, "table", "", 1, [[""]], 1), ("d", 5, "image", "x", 1, [], 1), ("d", 6, "para", None, 1, [], 1)]
+    rows = [("d", 0, "heading", " 水位 ", 1, [], 1), ("d", 1, "para", "45", 1, [], 1), ("d", 2, "para", "", 1, [], 1), ("d", 3, "table", "", 1, [[" a ", None], ["", " "]], 1), ("d", 4, "table", "", 1, [[""]], 1), ("d", 5, "image", "x", 1, [], 1), ("d", 6, "para", None, 1, [], 1)]
     out = clean.clean_blocks(spark.createDataFrame(rows, BLOCK)).orderBy("block_idx").collect()
-    assert [(r["kind"], r["text"], r["rows"]) for r in out] == [("heading", "标题", []), ("table", "", [["a", ""]])]
+    assert [(r["kind"], r["text"], r["rows"]) for r in out] == [("heading", "水位", []), ("table", "", [["a", ""]])]
 
 
 def test_describe_and_manifest(spark):

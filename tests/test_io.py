@@ -95,3 +95,40 @@ def test_stream(spark, tmp_path):
     pages.selectExpr("page_id + 1 as page_id", "url", "html").write.parquet(str(tmp_path / "in" / "two"))
     assert ingest() and ingest()
     assert {r["doc"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"1", "2"}
+
+
+def test_html_tables_and_references(spark):
+    page = '<h1>A &#233;&#xE9; &#0; &amp;#65;</h1><p>x<table class="t"><tr><th>a</th><th> b&amp;c </th></tr><tr><td><p>1</p></td><td></td></tr><tr><td></td></tr></table>tail<TABLE><tr><td>q'
+    rows = html.html_blocks(spark.createDataFrame([(1, page), (2, None), (3, "<table></table>")], "page_id long, html string")).collect()
+    assert [(r["kind"], r["text"], r["rows"]) for r in rows] == [("heading", "A éé &#0; &#65;", []), ("para", "x", []), ("table", "", [["a", "b&c"], ["1", ""]]), ("para", "tail", []), ("table", "", [["q"]])]
+
+
+def test_last_snapshot_row_counts(spark, tmp_path):
+    for n, route in (("a", "first"), ("b", "second")):
+        rows = [(str(i), "simple", True, route, 5, []) for i in range(3 if n == "b" else 5)]
+        spark.createDataFrame(rows, schemas.SNAPSHOT).coalesce(1).write.json(str(tmp_path / "s" / n))
+    got = {r["qid"]: r["route"] for r in io.read_snapshot(spark, str(tmp_path / "s" / "*")).collect()}
+    assert got == {"0": "second", "1": "second", "2": "second", "3": "first", "4": "first"}
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from papyra import shared
+
+    class Context:
+        applicationId, master = "app", "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+    monkeypatch.setattr(shared, "ship", lambda spark: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_root(Session())

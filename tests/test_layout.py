@@ -11,27 +11,27 @@ def line(text, x0, y0, x1, y1, size=9.73, bold=True):
 
 
 def test_glyphs_are_joined():
-    out = join_glyphs([line("规", 278.89, 263.90, 288.62, 276.27), line("常", 256.93, 267.80, 266.66, 280.16), line("服", 300.85, 267.80, 310.59, 280.16)], 9.08)
-    assert [x.text for x in out] == ["常规服"]
+    out = join_glyphs([line("中", 120, 40, 131, 52), line("水", 100, 43, 111, 55), line("图", 140, 43, 151, 55)], 9.0)
+    assert [x.text for x in out] == ["水中图"]
 
 
 def test_what_is_not_joined():
-    marks = [line("《公告》", 100, 100, 150, 112, 10.38), line("《公告》", 120, 100, 170, 112, 10.38)]
-    assert len(join_glyphs(marks, 9.08)) == 2
-    many = [line("测试", 20.0 * i, 100, 20.0 * i + 10, 112) for i in range(11)]
-    assert len(join_glyphs(many, 9.08)) == 11
-    body = [line("正", 10, 100, 20, 110, 9.08, False), line("文", 30, 100, 40, 110, 9.08, False)]
-    assert len(join_glyphs(body, 9.08)) == 2 and join_glyphs([], 9.08) == []
+    marks = [line("水位图", 60, 30, 110, 43, 11.0), line("水位图", 75, 30, 125, 43, 11.0)]
+    assert len(join_glyphs(marks, 9.0)) == 2
+    many = [line("江河", 24.0 * i, 30, 24.0 * i + 12, 43) for i in range(12)]
+    assert len(join_glyphs(many, 9.0)) == 12
+    body = [line("上", 15, 30, 24, 39, 9.0, False), line("下", 33, 30, 42, 39, 9.0, False)]
+    assert len(join_glyphs(body, 9.0)) == 2 and join_glyphs([], 9.0) == []
 
 
-@pytest.mark.parametrize(("text", "size", "bold", "want"), [("新版本上线！", 14.28, True, 1), ("这是正文短句。", 9.08, False, 0), ("维护更新内容", 9.08, True, 2), ("长" * 51, 14.28, True, 0), ("a", 10.5, False, 2)])
+@pytest.mark.parametrize(("text", "size", "bold", "want"), [("水位又高了！", 13.5, True, 1), ("灯还亮着。", 9.08, False, 0), ("下游各站", 9.08, True, 2), ("水" * 51, 13.5, True, 0), ("a", 10.5, False, 2)])
 def test_heading_level(spark, text, size, bold, want):
     df = spark.createDataFrame([(text, size, bold, 9.08)], "t string, s double, b boolean, body double")
     assert df.select(layout.heading_level(F.col("t"), F.col("s"), F.col("b"), F.col("body")).alias("x")).first()["x"] == want
     assert layout._level(line(text, 0, 0, 1, 1, size, bold), 9.08) == want
 
 
-@pytest.mark.parametrize(("rows", "want"), [([["a"]], True), ([["标题", ""]], True), ([["a", "b"], ["c", "d"]], False), ([["a", ""], ["b", None]], True), ([], True)])
+@pytest.mark.parametrize(("rows", "want"), [([["a"]], True), ([["单位", ""]], True), ([["a", "b"], ["c", "d"]], False), ([["a", ""], ["b", None]], True), ([], True)])
 def test_fake_table(spark, rows, want):
     assert spark.createDataFrame([(rows,)], "r array<array<string>>").select(layout.is_fake_table(F.col("r")).alias("x")).first()["x"] is want
 

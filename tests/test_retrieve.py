@@ -1,5 +1,7 @@
 import math
 import random
+import shutil
+import time
 from collections import Counter
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from papyra.operators import index, judge, rag, retrieve
 from papyra.operators.evaluate import NO_CONTEXT
 from papyra.operators.generate import REJECT_ANSWER
-from papyra.providers import ExtractiveGenerator, HashEmbedder, OverlapReranker, embed_table, rerank_table
+from papyra.providers import ExtractiveGenerator, HashEmbedder, LetterEmbedder, OverlapReranker, ProviderError, embed_table, generate_table, is_final, rerank_table, retried
 from papyra.schemas import CHUNK
 
 CORPUS = [("chunk_000001", "公告A 版本更新内容说明"), ("chunk_000002", "公告B 逐猎狂途 活动开启"), ("chunk_000003", "公告C 维护补偿 时间")]
@@ -133,6 +135,66 @@ def test_rerank_provider_sees_all_candidates(spark):
     assert rerank_table(c, Last(), 25).count() == 20
 
 
+def test_routes_with_models(spark):
+    """Dense search over a store, a reranker that sees every candidate; the sparse route isn't asked."""
+    corpus = spark.createDataFrame([(i, t) for i, t in enumerate(["aab", "bba", "ccc", "abc abc", "zz"])], "id long, text string")
+    store = embed_table(corpus, LetterEmbedder())
+    q = spark.createDataFrame([("q", "ab zz")], "qid string, text string")
+
+    class Backwards:
+        def scores(self, query, documents):
+            assert query == "ab zz" and len(documents) == 5
+            return [(k, float(k)) for k in range(5)]
+
+    found = retrieve.routes(index.build(corpus), q, 2, retrieve.Models(store, LetterEmbedder(), Backwards(), corpus), "ACD")
+    assert [r["id"] for r in found["D"].orderBy("rank").collect()] == [4, 0]
+    order = [r["id"] for r in retrieve.dense_topk(store, LetterEmbedder(), q, 5).orderBy("rank").collect()]
+    assert [r["id"] for r in found["C"].orderBy("rank").collect()] == order[:-3:-1]
+    assert [r["score"] for r in found["A"].orderBy("rank").collect()] == [4.0, 3.0]
+
+
+def test_refusals_are_not_tried_again(spark):
+    def calls(status):
+        n = []
+
+        def call():
+            n.append(1)
+            raise ProviderError(status) if status else ConnectionError("gone")
+
+        with pytest.raises(Exception):
+            retried(call, pause=lambda n: 0, final=is_final)
+        return len(n)
+
+    assert [calls(s) for s in (400, 401, 404, 429, 500, 503, None)] == [1, 1, 1, 4, 4, 4, 4]
+
+    class Refuses:
+        def answer(self, messages):
+            raise ProviderError(403, "no")
+
+    rows = spark.createDataFrame([("q", [{"role": "user", "content": "x"}])], "qid string, messages array<struct<role: string, content: string>>")
+    begun = time.time()
+    assert [tuple(r) for r in generate_table(rows, Refuses(), pause=lambda n: 30.0).collect()] == [("q", "", "ProviderError: status 403: no")]
+    assert time.time() - begun < 25
+
+
+def test_segmenter(spark):
+    pairs = lambda t: [t[i : i + 2] for i in range(0, len(t), 2)]
+    ix = index.build(spark.createDataFrame([(1, "河堤 水位"), (2, "水位图")], "id long, text string"), segment=pairs)
+    assert {r["tok"] for r in ix.terms.collect()} == {"河堤", " 水", "位", "水位", "图"}
+    q = spark.createDataFrame([("q", "水位")], "qid string, text string")
+    assert {r["id"] for r in retrieve.bm25(ix, q).collect()} == {2}
+
+
+def test_index_is_built_only_where_there_is_none(spark, tmp_path):
+    corpus = spark.createDataFrame([(1, "a b")], "id long, text string")
+    path = str(tmp_path / "ix")
+    assert index.load_or_build(spark, path, corpus).terms.count() == 2
+    shutil.rmtree(tmp_path / "ix" / "terms")
+    with pytest.raises(Exception):
+        index.load_or_build(spark, path, corpus)
+    assert not (tmp_path / "ix" / "terms").exists()
+
+
 def test_embedding_provider(spark):
     rows = spark.createDataFrame([(i, f"text {i}") for i in range(21)] + [(99, None)], "id long, text string")
     out = {r["id"]: r["embedding"] for r in embed_table(rows, HashEmbedder(16)).collect()}
