@@ -9,7 +9,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.shared import ship
+from papyra.shared import filesystem, ship  # noqa: F401
 
 #: A word: a run of anything but space and the characters 9 to 13. bytes.split() splits the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,21 +47,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int, rows: int
         yield batch.slice(start, n - start)
 
 
-def filesystem(uri: str):
-    """(pyarrow filesystem, path) of a URI; a path without a scheme is local."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def keep_rows(df: DataFrame, judge: Callable[[list[bytes | None]], list[bool]], most: int = 4 << 20) -> DataFrame:
-    """The rows of ``df``, with all their columns, for whose ``text`` (UTF-8, or None) ``judge`` says True."""
+    """The rows of ``df``, with all their columns, whatever their names, for whose ``text`` (UTF-8, or None) ``judge`` says True."""
+    at = df.columns.index("text")
+    numbered = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
     def run(batches):
-        for part in slices(batches, "text", most):
-            yield part.filter(pa.array(judge(part.column("text").cast(pa.binary()).to_pylist()), pa.bool_()))
+        for part in slices(batches, f"c{at}", most):
+            yield part.filter(pa.array(judge(part.column(at).cast(pa.binary()).to_pylist()), pa.bool_()))
 
-    return arrow_map(df, run, df.schema)
+    return arrow_map(numbered, run, numbered.schema).toDF(*df.columns)
 
 
 def deal(df: DataFrame, parts: int, number: str) -> DataFrame:

@@ -8,7 +8,7 @@ run ends, and only documents with those 12 bits, one in 4,096, meet in a window.
 share of the rows.
 
 Weights cycle over the sources in code-point order, null last. Nulls and empties: a null text has size 0, a
-null source is a source, a null doc_id is ordered by the word "null". Rows that repeat a doc_id and have the
+null source is a source, a null doc_id is ordered by its text. Rows that repeat a doc_id and have the
 same size are alike; which of two such rows at the edge of a run is taken shows in no result. A source whose
 documents are all empty has target 0. Extra columns are ignored. An empty table gives an empty result.
 """
@@ -49,9 +49,10 @@ def water_fill(sources: DataFrame, share: float = SHARE, max_epochs: float = MAX
 
 def mix(docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken): one row per document."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("unnamed"), word_count(F.col("text")).alias("size"))
-    place = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), 1, 15), 16, 10).cast("long")
-    sized = written(named.withColumn("place", place), "mix-sizes")
+    name = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.concat(F.lit("null|"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))).alias("name")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("unnamed"), word_count(F.col("text")).alias("size"), name)
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.col("name")).cast("binary")), 1, 15), 16, 10).cast("long")
+    sized = written(named.withColumn("place", place).drop("name"), "mix-sizes")
     head = F.shiftright("place", _LOW_BITS)
     by_head = sized.groupBy("source", "unnamed", head.alias("head")).agg(F.sum("size").alias("size"))
     by_head = written(by_head, "mix-heads")
@@ -80,7 +81,7 @@ ORACLE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
          CASE WHEN text IS NULL THEN 0 ELSE length(regexp_replace(regexp_replace(text, '[^\x20\x09-\x0D]+', 'x', 'g'), '[\x20\x09-\x0D]+', '', 'g')) END AS size,
-         CAST(concat('0x', substr(md5(concat('mix-1|', coalesce(CAST(doc_id AS VARCHAR), 'null'))), 1, 15)) AS BIGINT) AS place
+         CAST(concat('0x', substr(md5(concat('mix-1|', coalesce(CAST(doc_id AS VARCHAR), concat('null|', md5(coalesce(text, '')))))), 1, 15)) AS BIGINT) AS place
   FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM sources),
