@@ -61,7 +61,7 @@ counts AS (
   FROM vals v JOIN rated USING (row) JOIN trials USING (row) JOIN grid USING (rule) WHERE NOT base_failed GROUP BY v.stratum, v.rule, cutoff),
 cdf AS (
   SELECT *, list_sum(list_transform(range(false_rejected + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({p!r}) + (good - i) * ln(1 - {p!r})))) AS p FROM counts WHERE false_rejected < good * {p!r}),
-gains AS (SELECT *, round(rejected / greatest(bad, 1)::DOUBLE - false_rejected / good::DOUBLE, 9) AS gain FROM cdf WHERE p <= {delta}::DOUBLE / {sum(map(len, risk_rules.GRID.values()))} / (SELECT count(DISTINCT stratum) FROM counts)),
+gains AS (SELECT *, round(rejected / greatest(bad, 1)::DOUBLE - false_rejected / good::DOUBLE, 9) AS gain FROM cdf WHERE p <= {delta}::DOUBLE / {len(risk_rules.GRID)} / (SELECT count(DISTINCT stratum) FROM counts)),
 best AS (SELECT stratum, rule, arg_max(cutoff, (gain, cutoff)) AS cutoff FROM gains WHERE gain > 0 GROUP BY stratum, rule),
 failed AS (SELECT DISTINCT row FROM vals JOIN best USING (stratum, rule) WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND row NOT IN (SELECT row FROM failed) AS kept FROM rated

@@ -4,7 +4,9 @@ Base features come from the whole text inside one row: no shuffle. For each rule
 is tried on labelled documents that pass the base rule. In each stratum (language) and for each cutoff the
 number of good documents it would reject is binomial; a cutoff is admitted only if the exact binomial
 (Clopper-Pearson) upper bound of its false rejection is within the rule's share of ``RISK``, at confidence
-1 - ``DELTA`` over all strata, rules and cutoffs together (Bonferroni). As all bounds hold at once, any
+1 - ``DELTA`` over all strata, rules and cutoffs together. The cutoffs of a rule are tested in a fixed order, loosest first,
+until one fails (a tighter one rejects whatever a looser one does, so its test can't succeed where that fails); such a sequence
+needs no correction within itself, and Bonferroni's covers rules and strata. As all bounds hold at once, any
 admitted cutoff may be chosen: that with the largest difference between the rejected shares of bad and of
 good documents, if it is positive; of equal ones the loosest. A stratum without enough good documents
 admits nothing and loses nothing. The thresholds are fitted on all labelled documents: features are written once
@@ -137,10 +139,9 @@ def fitted(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     over = F.col("above") > n
     counts = tried.groupBy("stratum", "rule", "cutoff").agg(F.sum("good").alias("good"), F.sum(F.when(over, F.col("good")).otherwise(0)).alias("false_rejected"), F.sum("bad").alias("bad"), F.sum(F.when(over, F.col("bad")).otherwise(0)).alias("rejected"))
     share = risk / len(GRID)
-    tests = sum(map(len, GRID.values()))
     strata = F.broadcast(counts.agg(F.count_distinct("stratum").alias("strata")))
     bounded = counts.crossJoin(strata).where(F.col("false_rejected") < F.col("good") * share)
-    bounded = bounded.where(binomial_cdf(F.col("false_rejected"), F.col("good"), share) <= F.lit(delta / tests) / F.col("strata"))
+    bounded = bounded.where(binomial_cdf(F.col("false_rejected"), F.col("good"), share) <= F.lit(delta / len(GRID)) / F.col("strata"))
     gain = F.round(F.col("rejected") / F.greatest("bad", F.lit(1)) - F.col("false_rejected") / F.col("good"), 9)
     best = bounded.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct("gain", "cutoff")).alias("cutoff"))
     return best.groupBy("stratum").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule", "cutoff")))).alias("cutoffs"))
