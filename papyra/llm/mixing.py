@@ -1,7 +1,8 @@
 """Mixing sources to target weights by capped water-filling. DataFrame and SQL functions only.
 
 A source's share is its weight times a common level; sources above ``max_epochs`` times their size are
-clamped there and the level of the rest is raised, until none is above. Whole epochs repeat every document;
+clamped there and the level of the rest is raised, until none is above. Sources are clamped in order of cap by weight, so running
+sums in that order give the level that the rounds end at, in one pass for any number of sources. Whole epochs repeat every document;
 the fraction left is the run of documents, in a seeded order, whose sizes come nearest to the words
 still to take. The order is by a hash of 60 bits: sums over its first 12 bits find the place where a source's
 run ends, and only documents with those 12 bits, one in 4,096, meet in a window. So a source may hold any
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyra.llm.common import WORD
-from papyra.operators.ranks import global_row_number
+from papyra.operators.ranks import global_row_number, prefix_sums
 from papyra.shared import written
 
 SHARE, WEIGHTS, MAX_EPOCHS, SEED = 1.5, (5, 2, 1), 2.0, "mix-1"
@@ -33,18 +34,16 @@ def word_count(text):
 
 
 def water_fill(sources: DataFrame, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
-    """``sources`` (source_size, weight, ...) with ``target``. Each round clamps what is above its cap and spreads the rest."""
-    cap = F.col("source_size") * F.lit(float(max_epochs))
-    first = sources.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
-    total = share * (first["size"] or 0)
-    level, clamped = total / first["weight"] if first["weight"] else 0.0, 0
-    while True:
-        above = F.col("weight") * F.lit(level) > cap
-        row = sources.agg(F.count_if(above).alias("n"), F.sum(F.when(above, cap)).alias("cap"), F.sum(F.when(~above, F.col("weight"))).alias("weight")).first()
-        if row["n"] == clamped or not row["weight"]:
-            break
-        clamped, level = row["n"], (total - (row["cap"] or 0.0)) / row["weight"]
-    return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), cap))
+    """``sources`` (source_size, weight, ...) with ``target``: clamped at its cap, or its weight of what the clamped ones leave."""
+    capped = sources.withColumn("cap", F.col("source_size") * F.lit(float(max_epochs)))
+    ordered = written(global_row_number(capped, [F.col("cap") / F.col("weight"), "rank"], "place"), "mix-order")
+    sums = prefix_sums(prefix_sums(ordered, "place", "cap", "clamped"), "place", "weight", "full")
+    every = F.broadcast(ordered.agg((share * F.sum("source_size")).alias("total"), F.sum("weight").alias("all"), F.max(F.col("cap") / F.col("weight")).alias("top")))
+    # The level if all before a source are clamped; the first source that it leaves below its cap ends the rounds.
+    tried = sums.crossJoin(every).withColumn("level", (F.col("total") - F.col("clamped")) / (F.col("all") - F.col("full")))
+    fits = F.when(F.col("weight") * F.col("level") <= F.col("cap"), F.struct("place", "level"))
+    level = F.broadcast(tried.agg(F.coalesce(F.min(fits)["level"], F.max("top")).alias("level")))
+    return ordered.crossJoin(level).withColumn("target", F.least(F.col("weight") * F.col("level"), F.col("cap"))).drop("level", "cap", "place")
 
 
 def mix(docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -59,7 +58,7 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHT
     sources = by_head.groupBy("source", "unnamed").agg(F.sum("size").alias("source_size"))
     ranked = global_row_number(sources, ["unnamed", "source"], "rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
-    targets = water_fill(written(ranked.select("source", "unnamed", "source_size", weight.alias("weight")), "mix-sources"), share, max_epochs)
+    targets = water_fill(ranked.select("source", "unnamed", "source_size", "rank", weight.alias("weight")), share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = targets.select("source", "unnamed", "source_size", "target", whole.alias("whole"), (F.col("target") - whole * F.col("source_size")).alias("need"))
     so_far = F.sum("size").over(Window.partitionBy("source", "unnamed").orderBy("head"))
