@@ -21,7 +21,7 @@ from papyra.operators.ranks import global_row_number
 from papyra.providers import Embedder, Reranker, embed_table, rerank_table
 from papyra.shared import filesystem, ship, written
 
-BROADCAST_QUERY_ROWS = 200_000
+BROADCAST_QUERY_ROWS, SHORT_BLOCK = 200_000, 1000
 RRF_K = 60
 
 
@@ -224,7 +224,7 @@ def containing(index: Index, docs: DataFrame, queries: DataFrame) -> DataFrame:
 
     A document that does has every token inside the text, but for the first and last, which may be parts of longer ones
     there. Documents with the rarest of these tokens are looked up and compared; queries of under three tokens
-    are held against all documents.
+    are held against all documents, in blocks of ``SHORT_BLOCK`` queries as one row each.
     """
     asked = queries.where("text is not null and text <> ''").withColumn("toks", tokens(F.col("text")))
     inner = asked.where(F.size("toks") > 2).select("qid", F.explode(F.slice("toks", F.lit(2), F.size("toks") - 2)).alias("tok")).distinct()
@@ -233,5 +233,6 @@ def containing(index: Index, docs: DataFrame, queries: DataFrame) -> DataFrame:
     pairs = index.postings.select("tok", "id").join(_sized(rarest), "tok").select("qid", "id")
     looked_up = docs.join(pairs, "id").join(asked.select("qid", "text"), "qid")
     few = asked.where(F.size("toks") <= 2).select("qid", "text")
-    held = docs.join(_sized(few), F.contains("body", "text"))
-    return looked_up.where(F.contains("body", "text")).select("qid", "id").unionByName(held.select("qid", "id"))
+    blocks = written(few.groupBy(F.pmod(F.xxhash64("qid"), F.lit(-(-few.count() // SHORT_BLOCK) or 1)).alias("block")).agg(F.collect_list(F.struct("qid", "text")).alias("asked")), "short-queries")
+    held = docs.crossJoin(blocks).select("id", F.explode(F.filter("asked", lambda a: F.contains("body", a["text"]))).alias("a"))
+    return looked_up.where(F.contains("body", "text")).select("qid", "id").unionByName(held.select("a.qid", "id"))

@@ -11,11 +11,11 @@ def figures(spark, docs, sources, k):
 
 
 def test_score_question(spark):
-    m = figures(spark, ["X", "D1", "Y"], ["D1"], 3)
-    assert (m["recall"], m["p1"], m["mrr"]) == (1.0, 0.0, 0.5)
-    m = figures(spark, ["D1", "D2", "X", "D3", "Y"], ["D1", "D2", "D3", "D4"], 5)
-    assert (m["recall"], m["precision"], m["p1"]) == (0.75, 0.6, 1.0)
-    assert figures(spark, ["D1", "D1", "D1"], ["D1", "D2"], 3)["recall"] == 0.5
+    m = figures(spark, ["p", "q", "s1", "r"], ["s1"], 4)
+    assert (m["recall"], m["p1"], m["mrr"]) == (1.0, 0.0, 1 / 3)
+    m = figures(spark, ["s2", "q", "s1", "s5", "s4", "r", "s3"], ["s1", "s2", "s3", "s4", "s5", "s6", "s7", "s8"], 6)
+    assert (m["recall"], m["precision"], m["p1"]) == (0.5, 4 / 6, 1.0)
+    assert figures(spark, ["s1", "s1"], ["s1", "s2", "s3", "s4"], 2)["recall"] == 0.25
     assert figures(spark, ["D1"], [], 3) is None and figures(spark, ["D1"], [""], 3) is None
     assert figures(spark, ["D1"], ["D1"], 5)["precision"] == 0.2
     m = figures(spark, [], ["D1"], 5)
@@ -60,18 +60,18 @@ def scores(spark, pos, neg, route="r"):
 
 
 def test_overlapping_classes(spark):
-    df = scores(spark, [0.9, 0.8, 0.6], [0.7, 0.3])
+    df = scores(spark, [0.95, 0.85, 0.55], [0.75, 0.25])
     box = {r["positive"]: r for r in calibrate.describe(df).collect()}[True]
-    assert (box["p25"], box["median"], box["p75"]) == (0.6, 0.8, 0.9)
+    assert (box["p25"], box["median"], box["p75"]) == (0.55, 0.85, 0.95)
     r = calibrate.report(df).first()
     assert not r["separable"] and r["suggested_min_score"] is None
-    assert [(c["threshold"], c["false_reject"], c["leak"]) for c in r["candidates"]] == [(0.3, 0, 2), (0.6, 0, 1), (0.8, 1, 0)]
-    assert [c["interval"] for c in r["candidates"]] == [[None, 0.3], [0.3, 0.6], [0.7, 0.8]]
+    assert [(c["threshold"], c["false_reject"], c["leak"]) for c in r["candidates"]] == [(0.25, 0, 2), (0.55, 0, 1), (0.85, 1, 0)]
+    assert [c["interval"] for c in r["candidates"]] == [[None, 0.25], [0.25, 0.55], [0.75, 0.85]]
 
 
 def test_separable_classes_and_missing_ones(spark):
-    r = calibrate.report(scores(spark, [0.7, 0.9], [0.2, 0.5])).first()
-    assert r["separable"] and (r["window_low"], r["window_high"], r["suggested_min_score"]) == (0.5, 0.7, 0.6)
+    r = calibrate.report(scores(spark, [0.65, 0.92], [0.1, 0.45])).first()
+    assert r["separable"] and (r["window_low"], r["window_high"], r["suggested_min_score"]) == (0.45, 0.65, 0.55)
     r = calibrate.report(scores(spark, [0.7], [])).first()
     assert r["note"] == "one class is missing" and r["candidates"] is None
     assert calibrate.tradeoff(scores(spark, [], [])).count() == 0
@@ -82,8 +82,8 @@ HIT = "qid string, rank int, id string, score double, text string, doc string, s
 
 def test_threshold(spark):
     q = spark.createDataFrame([("a",), ("b",), ("c",)], "qid string")
-    hits = spark.createDataFrame([("a", 0.5), ("b", 0.9), ("b", 0.1)], "qid string, score double")
-    yes, no = generate.split_by_threshold(q, hits, 0.7)
+    hits = spark.createDataFrame([("a", 0.4), ("b", 0.8), ("b", 0.2)], "qid string, score double")
+    yes, no = generate.split_by_threshold(q, hits, 0.6)
     assert [r["qid"] for r in yes.collect()] == ["b"] and {(r["qid"], r["answer"]) for r in no.collect()} == {("a", generate.REJECT_ANSWER), ("c", generate.REJECT_ANSWER)}
 
 

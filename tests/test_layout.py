@@ -57,11 +57,11 @@ def test_span_text(spark):
 def test_blocks_of_a_document(spark):
     rows = []
     for page in (1, 2):
-        rows += [(page, "版本公告", 14.0, True, 50.0, 10.0, 150.0, 24.0), (page, f"第{page}段正文内容在这里，", 10.0, False, 50.0, 40.0, 500.0, 50.0), (page, "接着上一行。", 10.0, False, 50.0, 54.0, 300.0, 64.0), (page, "12.", 10.0, False, 50.0, 68.0, 60.0, 78.0), (page, "新的段落。", 10.0, False, 50.0, 200.0, 300.0, 210.0), (page, "格", 10.0, False, 60.0, 310.0, 90.0, 320.0)]
+        rows += [(page, "各站读数", 14.0, True, 50.0, 10.0, 150.0, 24.0), (page, f"第{page}段正文内容在这里，", 10.0, False, 50.0, 40.0, 500.0, 50.0), (page, "接着上一行。", 10.0, False, 50.0, 54.0, 300.0, 64.0), (page, "12.", 10.0, False, 50.0, 68.0, 60.0, 78.0), (page, "新的段落。", 10.0, False, 50.0, 200.0, 300.0, 210.0), (page, "格", 10.0, False, 60.0, 310.0, 90.0, 320.0)]
     tables = spark.createDataFrame([("d", 1, 0, 50.0, 300.0, 300.0, 400.0, [["格", " x "], ["", ""], ["y", "z"]]), ("d", 2, 0, 50.0, 300.0, 300.0, 400.0, [["格"]])], PAGE_TABLE)
     out = layout.page_blocks(lines_table(spark, rows), tables).orderBy("block_idx").collect()
     assert [(r["kind"], r["text"], r["page"]) for r in out] == [
-        ("table", "", 1), ("heading", "版本公告", 1), ("para", "第1段正文内容在这里，接着上一行。", 1), ("para", "新的段落。", 1),
+        ("table", "", 1), ("heading", "各站读数", 1), ("para", "第1段正文内容在这里，接着上一行。", 1), ("para", "新的段落。", 1),
         ("para", "第2段正文内容在这里，接着上一行。", 2), ("para", "新的段落。", 2), ("heading", "格", 2),
     ]
     assert out[0]["rows"] == [["格", "x"], ["y", "z"]] and out[-1]["level"] == 2

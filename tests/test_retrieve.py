@@ -14,7 +14,7 @@ from papyra.operators.generate import REJECT_ANSWER
 from papyra.providers import ExtractiveGenerator, HashEmbedder, LetterEmbedder, OverlapReranker, ProviderError, embed_table, generate_table, is_final, rerank_table, retried
 from papyra.schemas import CHUNK
 
-CORPUS = [("chunk_000001", "公告A 版本更新内容说明"), ("chunk_000002", "公告B 逐猎狂途 活动开启"), ("chunk_000003", "公告C 维护补偿 时间")]
+CORPUS = [("chunk_000001", "甲站 水位读数说明"), ("chunk_000002", "乙站 河堤夜灯 点亮"), ("chunk_000003", "丙站 渡船停开 钟点")]
 
 
 def ranks(spark, *lists):
@@ -22,17 +22,17 @@ def ranks(spark, *lists):
 
 
 def test_rrf(spark):
-    rows = retrieve.rrf(ranks(spark, "abc", "bad")).orderBy("rank").collect()
-    assert [r["id"] for r in rows][:2] == ["a", "b"] and {r["id"] for r in rows[2:]} == {"c", "d"}
+    rows = retrieve.rrf(ranks(spark, "xyz", "yxw")).orderBy("rank").collect()
+    assert [r["id"] for r in rows][:2] == ["x", "y"] and {r["id"] for r in rows[2:]} == {"z", "w"}
     assert rows[0]["score"] == rows[1]["score"] == round(1 / 61 + 1 / 62, 12)
     assert [r["score"] for r in rows] == sorted((r["score"] for r in rows), reverse=True)
-    (only,) = retrieve.rrf(ranks(spark, ["only"], [])).collect()
-    assert only["score"] == round(1 / 61, 12) and retrieve.rrf(ranks(spark, [], [])).count() == 0
+    (alone,) = retrieve.rrf(ranks(spark, ["alone"], [])).collect()
+    assert alone["score"] == round(1 / 61, 12) and retrieve.rrf(ranks(spark, [], [])).count() == 0
 
 
 def test_bm25_finds_the_chunk(spark):
     ix = index.build(spark.createDataFrame(CORPUS, "id string, text string"))
-    q = spark.createDataFrame([("q1", "逐猎狂途"), ("q2", "nothing here"), ("q3", None)], "qid string, text string")
+    q = spark.createDataFrame([("q1", "河堤夜灯"), ("q2", "nothing here"), ("q3", None)], "qid string, text string")
     assert [(r["qid"], r["id"]) for r in retrieve.bm25_topk(ix, q, 3).collect()] == [("q1", "chunk_000002")]
     again = index.load(spark, ix.path)
     assert again.terms.count() == ix.terms.count() and index.load_or_build(spark, ix.path, None).postings.count() == ix.postings.count()
@@ -55,13 +55,13 @@ def test_empty_corpus_is_an_error(spark):
 def test_answers_end_to_end(spark):
     chunks = spark.createDataFrame([(i, "d", ["A"], t, [], 1, 2) for i, t in CORPUS], CHUNK)
     ix = index.build(chunks.select("id", "text"))
-    q = spark.createDataFrame([("q1", "逐猎狂途 活动开启"), ("q2", "zzz")], "qid string, text string")
+    q = spark.createDataFrame([("q1", "河堤夜灯 点亮"), ("q2", "zzz")], "qid string, text string")
     rows = {r["qid"]: r for r in rag.answer(ix, chunks, q, ExtractiveGenerator(), threshold=0.3).collect()}
-    assert rows["q1"]["answer"] == "公告B 逐猎狂途 活动开启 [chunk_000002]" and tuple(rows["q1"]["citations"]) == (1, 0, False) and rows["q1"]["topk"][0]["page"] == [1, 2]
+    assert rows["q1"]["answer"] == "乙站 河堤夜灯 点亮 [chunk_000002]" and tuple(rows["q1"]["citations"]) == (1, 0, False) and rows["q1"]["topk"][0]["page"] == [1, 2]
     assert rows["q2"]["rejected"] and rows["q2"]["answer"] == REJECT_ANSWER and rows["q2"]["citations"] is None
     given = rag.answer(ix, chunks, q, ExtractiveGenerator(), threshold=0.3).withColumns({"gold_answer": F.lit("g"), "answerable": F.lit(True)})
     asked = {r["qid"]: r["prompt"] for r in judge.prompts(given, chunks).collect()}
-    assert "[chunk_000002] 公告B" in asked["q1"] and NO_CONTEXT in asked["q2"] and set(judge.template(given).columns) > {"faithfulness"}
+    assert "[chunk_000002] 乙站" in asked["q1"] and NO_CONTEXT in asked["q2"] and set(judge.template(given).columns) > {"faithfulness"}
 
 
 def test_bm25_against_the_formula(spark):
@@ -107,7 +107,7 @@ def test_hybrid_keeps_both_lists_and_known_ids(spark):
 
 def test_routes(spark):
     ix = index.build(spark.createDataFrame(CORPUS, "id string, text string"))
-    q = spark.createDataFrame([("q", "逐猎狂途 活动")], "qid string, text string")
+    q = spark.createDataFrame([("q", "河堤夜灯 点")], "qid string, text string")
     for d in retrieve.routes(ix, q, 2).values():
         assert d.where("rank = 1").first()["id"] == "chunk_000002"
     assert retrieve.search_route("vector_only", ix, q, 1).count() == retrieve.search_route("other", ix, q, 1).count() == 1
