@@ -548,7 +548,8 @@ def layout_blocks(spark, sf_dir):
     """Blocks of the documents' layout lines, without tables."""
     lines = _layout(spark, sf_dir)
     none = spark.createDataFrame([], "doc string, page int, table_no int, x0 double, y0 double, x1 double, y1 double, rows array<array<string>>")
-    return layout.page_blocks(lines, none).select("doc", "block_idx", "kind", "text", "level", "page")
+    made = layout.page_blocks(lines, none)
+    return made.select("doc", F.col("block_idx").cast("long").alias("block_idx"), "kind", "text", F.col("level").cast("long").alias("level"), F.col("page").cast("long").alias("page"))
 
 
 # ---- generation ---------------------------------------------------------------------------------------------------

@@ -137,6 +137,11 @@ every AS (
 SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY page, own) - 1 AS block_idx, kind, text, level::BIGINT AS level, page::BIGINT AS page, cells::BIGINT AS cells FROM every"""
 
 
+# The same rows without tables and order numbers.
+_PLAIN = _FOLD.replace("line_no % 11 = 5", "false").replace("page % 3 = 1", "false").replace("page % 3 = 2", "false")
+c.ORACLE_SQL["layout_blocks"] = f"SELECT doc, block_idx, kind, text, level, page FROM ({_PLAIN})"
+
+
 @query(_FOLD)
 def layout_tables(spark, sf_dir):
     """Blocks of the documents' layout lines, with a real table on every third page, one that is none on every third, and order numbers."""
