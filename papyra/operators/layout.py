@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -230,14 +230,38 @@ def page_blocks(lines: DataFrame, tables: DataFrame) -> DataFrame:
     line = F.struct("line_no", "text", "size", "bold", "x0", "y0", "x1", "y1")
     pages = lines.groupBy("doc", "page").agg(F.sort_array(F.collect_list(line)).alias("lines")).join(figures, ["doc", "page"]).join(boxed, ["doc", "page"], "full")
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        given = []
-        for r in pdf.sort_values("page").itertuples():
-            own = [_Line(x["text"], x["size"], x["bold"], x["x0"], x["y0"], x["x1"], x["y1"]) for x in (r.lines if r.lines is not None else [])]
-            boxes = [((t["x0"], t["y0"], t["x1"], t["y1"]), [list(c) for c in t["rows"]]) for t in (r.tables if r.tables is not None else [])]
-            given.append((int(r.page), own, boxes, float(r.body_size or 0.0) if r.lines is not None else 0.0, float(r.line_h or 1.0) if r.lines is not None else 1.0))
-        out = pd.DataFrame(blocks_of_document(given), columns=["kind", "text", "level", "rows", "page"])
-        return out.assign(doc=pdf["doc"].iloc[0], block_idx=range(len(out)))[["doc", "block_idx", "kind", "text", "level", "rows", "page"]]
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pages.select("doc", "page", "lines", "tables", "body_size", "line_h").repartition(parts, "doc").sortWithinPartitions("doc", "page")
+    fields = [f.split() for f in BLOCK.split(", ")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "array<array<string>>": pa.list_(pa.list_(pa.string()))}
+
+    def given(page, own, tables, body, height):
+        boxes = [((t["x0"], t["y0"], t["x1"], t["y1"]), t["rows"]) for t in tables or []]
+        return int(page), [_Line(*(x[c] for c in ("text", "size", "bold", "x0", "y0", "x1", "y1"))) for x in own or []], boxes, float(body or 0.0), float(height or 1.0)
+
+    def out(made):
+        return pa.RecordBatch.from_arrays([pa.array([b[name] for b in made], kinds[kind]) for name, kind in fields], [name for name, _ in fields])
+
+    def fold(batches):
+        """Rows in order of document and page: a document's pages are held until the next one begins."""
+        doc, held, made = None, [], []
+
+        def close():
+            made.extend({**b, "doc": doc, "block_idx": k} for k, b in enumerate(blocks_of_document(held)))
+            held.clear()
+
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if held and row[0] != doc:
+                    close()
+                doc = row[0]
+                held.append(given(*row[1:]))
+            if len(made) > 4096:
+                yield out(made)
+                made.clear()
+        if held:
+            close()
+        yield out(made)
 
     ship(lines.sparkSession)
-    return pages.groupBy("doc").applyInPandas(fold, BLOCK)
+    return dealt.mapInArrow(fold, BLOCK)
