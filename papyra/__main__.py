@@ -1,6 +1,7 @@
 """Command line: ``python -m papyra STEP ...``. Each step reads and writes folders, so steps can be run one by one.
 
-  blocks    pages (Parquet with page_id, html) to cleaned blocks, Markdown and a manifest
+  pdfs      a folder of PDF files to cleaned blocks, Markdown and a manifest (needs the PDF library)
+  blocks    pages (Parquet with page_id, html) to the same
   chunks    blocks to chunks
   vectors   chunks to the vector store, with the stand-in embedder
   index     chunks to the inverted index
@@ -28,12 +29,20 @@ from papyra.sources import html, io
 ROUTES = {"vector_only": "D", "hybrid_rerank": "A"}
 
 
+def pdfs(spark: SparkSession, a) -> None:
+    _write_blocks(spark, a, io.pdf_blocks(io.scan_files(spark, a.pdfs)), "pdf")
+
+
 def blocks(spark: SparkSession, a) -> None:
-    cut = clean.truncate_tail(clean.clean_blocks(html.html_blocks(spark.read.parquet(a.pages))), a.marker)
+    _write_blocks(spark, a, html.html_blocks(spark.read.parquet(a.pages)), "html")
+
+
+def _write_blocks(spark: SparkSession, a, made: DataFrame, kind: str) -> None:
+    cut = clean.truncate_tail(clean.clean_blocks(made), a.marker)
     io.write_records(cut, f"{a.out}/blocks", "parquet")
     kept = spark.read.schema(schemas.BLOCK).parquet(f"{a.out}/blocks")
     io.write_records(io.render_markdown(kept), f"{a.out}/markdown")
-    io.write_records(clean.manifest(kept), f"{a.out}/manifest")
+    io.write_records(clean.manifest(kept, format=kind), f"{a.out}/manifest")
 
 
 def chunks(spark: SparkSession, a) -> None:
@@ -115,13 +124,14 @@ def judged(spark: SparkSession, a) -> None:
     evaluate.composite(evaluate.judge_summary(rows)).show()
 
 
-STEPS = {"blocks": blocks, "chunks": chunks, "vectors": vectors, "index": build, "ask": ask, "retrieve": snapshots, "evaluate": metrics, "calibrate": thresholds, "judge": judged}
+STEPS = {"pdfs": pdfs, "blocks": blocks, "chunks": chunks, "vectors": vectors, "index": build, "ask": ask, "retrieve": snapshots, "evaluate": metrics, "calibrate": thresholds, "judge": judged}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="papyra", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=STEPS)
     p.add_argument("--out", required=True, help="folder of all artifacts")
+    p.add_argument("--pdfs", help="folder of PDF files")
     p.add_argument("--pages", help="Parquet with page_id and html")
     p.add_argument("--questions", help="JSON array of questions")
     p.add_argument("--set", default="simple", choices=io.QA_SETS)

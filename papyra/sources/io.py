@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra import schemas
-from papyra.shared import exists, ship
+from papyra.operators import layout
+from papyra.shared import exists, ship, written
 
 QA_SETS = ("simple", "complex")
 
@@ -112,26 +113,44 @@ def pdf_available() -> bool:
     return importlib.util.find_spec("fitz") is not None
 
 
-def pdf_layout(files: DataFrame) -> DataFrame:
-    """Layout lines of PDF files (path, content), one row per line with its spans; needs the optional PDF library."""
+def pdf_pages(files: DataFrame) -> DataFrame:
+    """Lines and tables of PDF files (path, content) in one pass: a row for each line of text with its spans (line_no), and one for each
+    table that is detected (table_no, rows). doc is the file's name without its suffix. A page on which detection fails has no
+    tables. Needs the optional PDF library."""
     import pandas as pd
 
     if not pdf_available():
         raise RuntimeError("reading PDF needs the fitz module; without it start from layout lines")
+    columns = ["doc", "page", "line_no", "spans", "table_no", "rows", "x0", "y0", "x1", "y1"]
+
+    def tables_of(page):
+        try:
+            return [(t.bbox, [[c for c in r or []] for r in t.extract()]) for t in page.find_tables().tables]
+        except Exception:
+            return []
 
     def run(frames):
         import fitz
 
         for pdf in frames:
-            rows = []
+            found = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                doc = fitz.open(stream=content, filetype="pdf")
-                for page_no, page in enumerate(doc, 1):
+                name = os.path.splitext(os.path.basename(path))[0]
+                for number, page in enumerate(fitz.open(stream=content, filetype="pdf"), 1):
                     lines = [x for b in page.get_text("dict")["blocks"] if b.get("type") == 0 for x in b["lines"]]
                     for n, line in enumerate(lines):
                         spans = [{"text": s["text"], "size": float(s["size"]), "flags": int(s["flags"])} for s in line["spans"]]
-                        rows.append((os.path.basename(path), page_no, n, spans, *map(float, line["bbox"])))
-            yield pd.DataFrame(rows, columns=["doc", "page", "line_no", "spans", "x0", "y0", "x1", "y1"])
+                        found.append((name, number, n, spans, None, None, *map(float, line["bbox"])))
+                    found += [(name, number, None, None, n, rows, *map(float, box)) for n, (box, rows) in enumerate(tables_of(page))]
+            made = pd.DataFrame(found, columns=columns)
+            yield made.astype({"line_no": "Int32", "table_no": "Int32"})
 
     ship(files.sparkSession)
-    return files.mapInPandas(run, "doc string, page int, line_no int, spans array<struct<text: string, size: double, flags: int>>, x0 double, y0 double, x1 double, y1 double")
+    return files.select("path", "content").mapInPandas(run, "doc string, page int, line_no int, spans array<struct<text: string, size: double, flags: int>>, table_no int, rows array<array<string>>, x0 double, y0 double, x1 double, y1 double")
+
+
+def pdf_blocks(files: DataFrame) -> DataFrame:
+    """Blocks (M2) of PDF files (path, content)."""
+    pages = written(pdf_pages(files), "pdf-pages")
+    lines = pages.where("line_no is not null").withColumn("l", layout.line_text(F.col("spans"))).where("l is not null").select("doc", "page", "line_no", "l.*", "x0", "y0", "x1", "y1")
+    return layout.page_blocks(lines, pages.where("table_no is not null").select("doc", "page", "table_no", "x0", "y0", "x1", "y1", "rows"))

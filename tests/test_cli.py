@@ -1,6 +1,9 @@
+import importlib
 import json
+import os
 
 import pytest
+from pyspark import SparkFiles
 
 from papyra.__main__ import STEPS, main
 
@@ -13,7 +16,7 @@ def test_all_steps(spark, tmp_path, capsys):
     common = ["--out", str(tmp_path / "out"), "--pages", str(tmp_path / "pages"), "--questions", str(tmp_path / "qa.json"), "--threshold", "0.3"]
     with pytest.raises(SystemExit):
         main(["ask", *common], spark)
-    for step in STEPS:
+    for step in [s for s in STEPS if s != "pdfs"]:
         main([step, *common], spark)
     read = lambda name: spark.read.json(str(tmp_path / "out" / name))
     answers = {r["qid"]: r for r in read("answers-hybrid_rerank").collect()}
@@ -21,3 +24,67 @@ def test_all_steps(spark, tmp_path, capsys):
     assert {r["route"]: r["recall"] for r in read("retrieval-metrics").collect()} == {"vector_only": 1.0, "hybrid_rerank": 1.0}
     assert read("thresholds-hybrid_rerank").first()["route"] == "hybrid_rerank" and read("judged-hybrid_rerank").count() == 2
     assert read("manifest").count() == 4 and spark.read.parquet(str(tmp_path / "out" / "vectors")).count() == 4
+
+
+FAKE = '''
+"""Stands in for the PDF library: a file is JSON of its pages."""
+import json
+
+
+class Table:
+    def __init__(self, given):
+        self.bbox, self.rows = given["box"], given["rows"]
+
+    def extract(self):
+        return self.rows
+
+
+class Tables:
+    def __init__(self, tables):
+        self.tables = tables
+
+
+class Page:
+    def __init__(self, given):
+        self.given = given
+
+    def get_text(self, kind):
+        lines = [{"bbox": x["box"], "spans": [{"text": t, "size": x["size"], "flags": 16 * x["bold"]} for t in x["texts"]]} for x in self.given["lines"]]
+        return {"blocks": [{"type": 1}, {"type": 0, "lines": lines}]}
+
+    def find_tables(self):
+        if self.given["tables"] is None:
+            raise ValueError("no tables today")
+        return Tables([Table(t) for t in self.given["tables"]])
+
+
+def open(stream, filetype):
+    return [Page(p) for p in json.loads(stream)]
+'''
+
+
+def test_pdfs(spark, tmp_path, monkeypatch):
+    line = lambda y, texts, size=10.0, bold=False: {"box": [50.0, y, 300.0, y + size], "size": size, "bold": bold, "texts": texts}
+    pages = [
+        {"lines": [line(10, ["Water", "levels"], 15.0, True), line(40, ["The river stood ", "high"]), line(52, ["for days"]), line(110, ["in table"]), line(200, [" "])], "tables": [{"box": [40.0, 100.0, 400.0, 150.0], "rows": [["day", " m "], [None, ""], ["1", "3"]]}]},
+        {"lines": [line(10, ["Then it fell."])], "tables": None},
+    ]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "b.PDF").write_text(json.dumps(pages))
+    (folder / "notes.txt").write_text("left out")
+    fake = tmp_path / "fitz.py"
+    fake.write_text(FAKE)
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(fake))
+    try:
+        main(["pdfs", "--out", str(tmp_path / "out"), "--pdfs", str(folder)], spark)
+    finally:
+        os.remove(SparkFiles.get("fitz.py"))  # other tests find the library missing, as it is
+        importlib.invalidate_caches()
+    main(["chunks", "--out", str(tmp_path / "out")], spark)
+    blocks = spark.read.parquet(str(tmp_path / "out" / "blocks")).orderBy("block_idx").collect()
+    assert [(r["doc"], r["kind"], r["text"], r["page"]) for r in blocks] == [("b", "table", "", 1), ("b", "heading", "Water levels", 1), ("b", "para", "The river stood high for days", 1), ("b", "para", "Then it fell.", 2)]
+    assert blocks[0]["rows"] == [["day", "m"], ["1", "3"]]
+    assert spark.read.json(str(tmp_path / "out" / "manifest")).first()["format"] == "pdf"
+    assert spark.read.parquet(str(tmp_path / "out" / "chunks")).count() == 2

@@ -27,7 +27,7 @@ def test_files_by_suffix(spark, tmp_path):
     assert paths == ["a.pdf", "b.PDF"]
     if not io.pdf_available():
         with pytest.raises(RuntimeError):
-            io.pdf_layout(io.scan_files(spark, str(tmp_path)))
+            io.pdf_pages(io.scan_files(spark, str(tmp_path)))
 
 
 def test_qa(spark, tmp_path):
