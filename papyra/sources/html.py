@@ -26,7 +26,8 @@ def numeric_references(text: Column) -> Column:
         return F.when(valid, F.concat(decoded, F.regexp_replace(piece, _CODE, ""))).otherwise(F.concat(F.lit("&#"), piece))
 
     rest = lambda p: F.transform(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), char)
-    return F.when(F.contains(text, F.lit("&#")), let(F.split(text, "&#", -1), lambda p: F.concat(p[0], F.array_join(rest(p), "")))).otherwise(text)
+    decoded = lambda t: let(F.split(t, "&#", -1), lambda p: F.concat(p[0], F.array_join(rest(p), "")))
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&#")), decoded(t)).otherwise(t))
 
 
 def plain(fragment: Column) -> Column:
@@ -64,7 +65,7 @@ def html_blocks(pages: DataFrame) -> DataFrame:
     pieces left out."""
     body = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>|[\x01-\x04]", " ")
     body = F.regexp_replace(F.regexp_replace(body, r"(?s)<!--.*?-->", " "), r"(?i)<br\b[^>]*>", " ")
-    marked = F.regexp_replace(_mark_tables(body), rf"(?i)<(/?)({TAGS})\b[^>]*>", "\x01$1$2\x02")
+    marked = F.regexp_replace(let(body, _mark_tables), rf"(?i)<(/?)({TAGS})\b[^>]*>", "\x01$1$2\x02")
     tag = lambda p: F.when(F.contains(p, F.lit("\x02")), F.lower(F.substring_index(p, "\x02", 1))).otherwise(F.lit(""))
     none = F.array().cast("array<array<string>>")
 
