@@ -112,8 +112,10 @@ class ProviderError(Exception):
 
 
 def is_final(e: Exception) -> bool:
-    """Whether trying again is of no use: statuses 400 to 499 but 429. Network errors and 5xx are worth another try."""
-    status = getattr(e, "status", None)
+    """Whether trying again is of no use: statuses 400 to 499 but 429. Network errors and 5xx are worth another try. The status is
+    looked for where HTTP clients keep it."""
+    given = (getattr(e, "status", None), getattr(e, "code", None), getattr(getattr(e, "response", None), "status_code", None))
+    status = next((x for x in given if isinstance(x, int)), None)
     return isinstance(status, int) and 400 <= status < 500 and status != 429
 
 

@@ -166,6 +166,9 @@ def test_refusals_are_not_tried_again(spark):
         return len(n)
 
     assert [calls(s) for s in (400, 401, 404, 429, 500, 503, None)] == [1, 1, 1, 4, 4, 4, 4]
+    from urllib.error import HTTPError
+
+    assert is_final(HTTPError("u", 404, "gone", {}, None)) and not is_final(HTTPError("u", 502, "down", {}, None)) and not is_final(TimeoutError())
 
     class Refuses:
         def answer(self, messages):
